@@ -44,8 +44,11 @@ def poi_counts(df: DataFrame, json_col: str, keep: Sequence[str] = (), path: str
     elements = F.coalesce(
         F.from_json(F.get_json_object(F.col(json_col), path), _ELEMENTS), F.array().cast(_ELEMENTS)
     )
-    counts = [F.size(F.filter(elements, _tag_test(k, v))).cast("bigint").alias(name) for name, k, v in POI_TAGS]
-    out = df.select(*keep, *counts)
+    parsed = df.select(*keep, elements.alias("_elements"))  # parse once, count five times
+    counts = [
+        F.size(F.filter(F.col("_elements"), _tag_test(k, v))).cast("bigint").alias(name) for name, k, v in POI_TAGS
+    ]
+    out = parsed.select(*keep, *counts)
     return out.withColumn("transit_nodes_total", F.col("bus_stops") + F.col("transit_stations")).withColumn(
         "commercial_nodes_total", F.col("commercial_banks") + F.col("commercial_marketplaces")
     )

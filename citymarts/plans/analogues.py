@@ -128,7 +128,7 @@ def dim_city(spark: SparkSession, folder: str) -> DataFrame:
     j = nation.join(bounded_broadcast(region), nation["n_regionkey"] == region["r_regionkey"], "inner").join(
         pop, nation["n_nationkey"] == pop["c_nationkey"], "left"
     )
-    return j.select(
+    dim = j.select(
         F.col("n_nationkey").cast("bigint").alias("city_id"),
         F.col("n_name").alias("city_name"),
         F.col("r_name").alias("country"),
@@ -136,12 +136,15 @@ def dim_city(spark: SparkSession, folder: str) -> DataFrame:
         F.col("n_regionkey").alias("currency_code"),
         F.coalesce(F.col("population"), F.lit(0).cast("bigint")).alias("population"),
     )
+    # one row per nation (inner join to a unique region key, left join to a
+    # unique nation key): the nation table bounds the size.
+    return bounded_broadcast(dim, bound_by=nation)
 
 
 def fx_fact(ev: DataFrame, dim: DataFrame) -> DataFrame:
     """Daily rate per currency (= region): mean ``click`` value of the
     region's cities, rounded to 4 decimals."""
-    cur = bounded_broadcast(dim.select(F.col("city_id").alias("_cid"), F.col("currency_code").alias("currency")))
+    cur = dim.select(F.col("city_id").alias("_cid"), F.col("currency_code").alias("currency"))  # hinted dim
     clicks = ev.where(F.col("event_type") == "click")
     j = clicks.join(cur, clicks["city_id"] == cur["_cid"], "inner")
     return j.groupBy("currency", F.col("d").alias("rate_date")).agg(

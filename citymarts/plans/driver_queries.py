@@ -48,7 +48,7 @@ class Marts:
         self.infra = A.infra_fact(self.ev)
         self.fx = A.fx_fact(self.ev, self.dim)
         self.env = M.environment_daily(self.weather, self.air, nudge=NUDGE)
-        self.fx_mart = M.fx_daily(self.fx, self.dim, nudge=NUDGE)
+        self.fx_mart = M.fx_daily(self.fx, self.dim, max_dim_rows=None, nudge=NUDGE)
         self.mobility = M.mobility_daily(self.env, self.infra, nudge=NUDGE)
 
     def composite(self) -> DataFrame:
@@ -61,6 +61,7 @@ class Marts:
             as_of=A.AS_OF,
             econ_penalty=A.ECON_PENALTY,
             nudge=NUDGE,
+            max_dim_rows=None,
         )
 
 

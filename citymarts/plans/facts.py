@@ -120,8 +120,8 @@ def fx_daily(raw: DataFrame, currencies: Sequence[str] = FX_CURRENCIES, source:
     scan (one ``inline`` of an array of structs, not a UNION of scans).
     Missing rates are dropped.
     """
-    r = raw_of(raw, source)
-    v = F.try_parse_json(F.col("payload"))
+    r = raw_of(raw, source).select("checksum", "ingested_at", F.try_parse_json("payload").alias("_v"))
+    v = F.col("_v")  # parsed once, read per field
     parsed = r.select(
         F.try_variant_get(v, "$.result", "string").alias("result"),
         F.to_date(best_effort_ts(F.try_variant_get(v, "$.time_last_update_utc", "string"))).alias("rate_date"),
@@ -181,8 +181,9 @@ def economic_indicator(raw: DataFrame, source: str = "world_bank") -> DataFrame:
 
 def osm_infrastructure(raw: DataFrame, source: str = "osm_infrastructure") -> DataFrame:
     """seven scalar counts per delivery; snapshot date = ingestion day."""
-    v = F.try_parse_json(F.col("payload"))
-    out = raw_of(raw, source).select(
+    parsed = raw_of(raw, source).select(*LINEAGE, F.try_parse_json("payload").alias("_v"))
+    v = F.col("_v")  # parsed once, read per field
+    out = parsed.select(
         F.col("scope_id").alias("city_id"),
         F.to_date("ingested_at").alias("snapshot_date"),
         *[F.try_variant_get(v, f"$.{c}", "bigint").alias(c) for c in OSM_COUNTS],

@@ -108,9 +108,12 @@ def environment_daily(
     )
 
 
-def fx_daily(fx: DataFrame, dim_city: DataFrame, max_dim_rows: int = 100_000, nudge: float = 0.0) -> DataFrame:
+def fx_daily(
+    fx: DataFrame, dim_city: DataFrame, max_dim_rows: int | None = 100_000, nudge: float = 0.0
+) -> DataFrame:
     """M2: previous observed rate, guarded % change, fanned out to every city
-    that uses the currency (broadcast dimension, size-checked)."""
+    that uses the currency (broadcast dimension, size-checked;
+    ``max_dim_rows=None`` when the caller already checked and hinted it)."""
     lagged = lag_pct_change(
         fx.select(F.col("rate_date").alias("date"), "currency", "units_per_usd", "ingested_at"),
         "currency",
@@ -226,7 +229,7 @@ def city_intelligence_daily(
     defaults: Mapping[str, float] = DEFAULTS,
     econ_penalty: float = ECON_PENALTY,
     nudge: float = 0.0,
-    max_dim_rows: int = 100_000,
+    max_dim_rows: int | None = 100_000,
 ) -> DataFrame:
     """M4e: composite 0-100 score per city-day.
 
