@@ -24,6 +24,7 @@ from citymarts.operators.timeseries import lag_pct_change
 from citymarts.operators.unnest import record_array_unnest, wide_to_long, zip_arrays_unnest
 from citymarts.plans import analogues as A
 from citymarts.plans import marts as M
+from citymarts.plans import serving as S
 from citymarts.sources.dims import dim_city_seed
 from citymarts.sources.tables import DRIVER_TABLES, load
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -308,20 +309,7 @@ def dedupe_first_q(spark, folder):
 def services_per_population(spark, folder):
     """S18 (+S6): latest mobility values per city, per 100k people."""
     m = Marts(spark, folder)
-    latest = latest_snapshot(m.mobility, "city_id", "date", ["transit_nodes_total", "commercial_nodes_total"])
-    j = m.dim.select("city_id", "city_name", "population").join(latest, "city_id", "inner")
-    return j.select(
-        "city_name",
-        "population",
-        "transit_nodes_total",
-        "commercial_nodes_total",
-        round_half_even(F.try_divide(F.col("transit_nodes_total"), F.col("population") / F.lit(100000.0)), 2, NUDGE).alias(
-            "transit_nodes_per_100k"
-        ),
-        round_half_even(
-            F.try_divide(F.col("commercial_nodes_total"), F.col("population") / F.lit(100000.0)), 2, NUDGE
-        ).alias("commercial_nodes_per_100k"),
-    )
+    return S.services_per_population(m.mobility, m.dim, NUDGE)
 
 
 def max_density(spark, folder):
@@ -367,51 +355,32 @@ def last_non_null_q(spark, folder):
 def fx_latest_per_currency(spark, folder):
     """S11 on the FX mart: dedupe to (currency, date), then the newest
     non-NULL rate and change per currency."""
-    fx = Marts(spark, folder).fx_mart
-    per_day = dedupe_first(
-        fx.select("currency", "date", "city_id", "units_per_usd", "day_pct_change"),
-        ["currency", "date"],
-        [("city_id", True)],
-    )
-    return last_non_null(per_day, "currency", "date", ["units_per_usd", "day_pct_change"], order_alias="date")
+    latest = S.fx_latest_per_currency(Marts(spark, folder).fx_mart)
+    return latest.select("currency", "units_per_usd", "day_pct_change", "date")
 
 
 def cross_weather_transit(spark, folder):
     """Mobility mart joined to city names."""
     m = Marts(spark, folder)
-    j = m.mobility.join(m.dim.select("city_id", "city_name"), "city_id")
-    return j.select(
-        "city_name", "date", "daily_precip_mm", "weather_stress_level", "transit_nodes_total", "fuel_stations_total"
-    )
+    return S.weather_transit(m.mobility, m.dim)
 
 
 def three_way_join(spark, folder):
     """Composite x FX mart x mobility mart on (city, date)."""
     m = Marts(spark, folder)
-    ci = m.composite().select("city_id", "city_name", "date", "units_per_usd")
-    fx = m.fx_mart.select("city_id", "date", F.col("day_pct_change").alias("fx_24h_pct_change"))
-    mob = m.mobility.select("city_id", "date", "fuel_stations_total", "fuel_density_sqkm")
-    j = ci.join(fx, ["city_id", "date"]).join(mob, ["city_id", "date"])
-    return j.select("city_name", "date", "units_per_usd", "fx_24h_pct_change", "fuel_stations_total", "fuel_density_sqkm")
+    return S.fx_fuel(m.composite(), m.fx_mart, m.mobility)
 
 
 def cross_env_pressure(spark, folder):
     """Environment x city x composite environment score."""
     m = Marts(spark, folder)
-    ci = m.composite().select("city_id", "date", "score_environment")
-    j = m.env.join(m.dim.select("city_id", "city_name"), "city_id").join(ci, ["city_id", "date"])
-    return j.select("city_name", "date", "avg_pm2_5", "hours_pm25_unhealthy", "avg_no2", "score_environment")
+    return S.environmental_pressure(m.env, m.dim, m.composite())
 
 
 def cross_vibrancy_commerce(spark, folder):
     """Composite vibrancy x mobility commerce and transit."""
     m = Marts(spark, folder)
-    ci = m.composite().select("city_id", "city_name", "date", "score_vibrancy", "news_intensity_pct")
-    mob = m.mobility.select("city_id", "date", "commercial_nodes_total", "transit_nodes_total")
-    j = ci.join(mob, ["city_id", "date"])
-    return j.select(
-        "city_name", "date", "score_vibrancy", "news_intensity_pct", "commercial_nodes_total", "transit_nodes_total"
-    )
+    return S.vibrancy_commerce(m.composite(), m.mobility)
 
 
 def freshness_summary_q(spark, folder):
@@ -434,11 +403,7 @@ def log_tail_50(spark, folder):
 
 def table_counts(spark, folder):
     """Row count of every table, one union job."""
-    out = None
-    for name in DRIVER_TABLES:
-        part = load(spark, folder, name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return S.table_counts({name: load(spark, folder, name) for name in DRIVER_TABLES})
 
 
 def economic_indicator(spark, folder):
@@ -461,11 +426,7 @@ def recent_filter(spark, folder):
 
 def bucket_peak(spark, folder):
     """News buckets per city and peak intensity."""
-    news = A.news_fact(A.events(spark, folder))
-    return news.groupBy("city_id").agg(
-        F.count(F.lit(1)).alias("buckets"),
-        round_half_even(F.max("mention_intensity"), 3, NUDGE).alias("peak"),
-    )
+    return S.news_buckets(A.news_fact(A.events(spark, folder)), 3, NUDGE)
 
 
 def gates_report(spark, folder):

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -224,16 +224,20 @@ def refresh(
         ("facts", lambda: build_facts(spark, paths, as_of)),
         ("marts", lambda: build_marts(spark, paths, as_of)),
     ]
+    # The run's clock is ``as_of``: stage rows are stamped as_of + elapsed,
+    # so a backfill for a past day logs (and later reads fresh) consistently.
+    clock0 = datetime.strptime(as_of, "%Y-%m-%d %H:%M:%S")
+    t_start = time.time()
     for name, fn in stages:
-        t0 = datetime.now(timezone.utc).replace(tzinfo=None)
-        start = time.time()
+        started = clock0 + timedelta(seconds=time.time() - t_start)
         try:
             counts = fn()
         except Exception as exc:  # noqa: BLE001
-            _log_stage(spark, paths, run_id, name, t0, datetime.now(timezone.utc).replace(tzinfo=None), "error", {}, exc)
+            finished = clock0 + timedelta(seconds=time.time() - t_start)
+            _log_stage(spark, paths, run_id, name, started, finished, "error", {}, exc)
             return 1
-        _ = time.time() - start
-        _log_stage(spark, paths, run_id, name, t0, datetime.now(timezone.utc).replace(tzinfo=None), "success", counts)
+        finished = clock0 + timedelta(seconds=time.time() - t_start)
+        _log_stage(spark, paths, run_id, name, started, finished, "success", counts)
     report = quality_gates(spark, paths).withColumn("run_id", F.lit(run_id))
     append_rows(report, paths.gates)
     failed = spark.read.parquet(paths.gates).where((F.col("run_id") == run_id) & ~F.col("passed")).limit(1).count()
