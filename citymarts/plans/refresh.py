@@ -30,6 +30,7 @@ from citymarts.schemas import (
     FACT_NEWS_INTENSITY,
     FACT_OSM_INFRASTRUCTURE,
     FACT_WEATHER_HOURLY,
+    FACT_KEYS,
     INGESTION_LOG,
     QUARANTINE,
     RAW,
@@ -57,6 +58,12 @@ FACT_PARTITION = {
     "fact_osm_infrastructure": lambda: month_of("snapshot_date"),
 }
 MARTS = ["mart_environment_daily", "mart_fx_daily", "mart_mobility_daily", "mart_city_intelligence_daily"]
+MART_KEYS = {
+    "mart_environment_daily": ["city_id", "date"],
+    "mart_fx_daily": ["city_id", "currency", "date"],
+    "mart_mobility_daily": ["city_id", "date"],
+    "mart_city_intelligence_daily": ["city_id", "date"],
+}
 
 
 class Paths:
@@ -119,7 +126,9 @@ def build_facts(spark: SparkSession, paths: Paths, as_of: str) -> dict:
     total = 0
     for name, df in FB.all_facts(raw).items():
         df = df.withColumn("part", FACT_PARTITION[name]())
-        write_table(df, paths.fact(name), ["part"], [c for c in df.columns if c in ("city_id", "currency", "country_code")])
+        # range-partition on the full (unique) fact key: a hot city is split
+        # across write tasks instead of landing in one
+        write_table(df, paths.fact(name), ["part"], FACT_KEYS[name])
         total += 1
     rejects = FB.hourly_rejects(raw, "open_meteo_weather", FB.WEATHER_FIELDS).unionByName(
         FB.hourly_rejects(raw, "open_meteo_air_quality", FB.AIR_QUALITY_FIELDS)
@@ -148,19 +157,19 @@ def build_marts(spark: SparkSession, paths: Paths, as_of: str) -> dict:
     write_table(dim_source_seed(spark), f"{paths.dims}/dim_source")
 
     env = M.environment_daily(read_fact(spark, paths, "fact_weather_hourly"), read_fact(spark, paths, "fact_air_quality_hourly"))
-    write_table(env.withColumn("ym", month_of("date")), paths.mart("mart_environment_daily"), ["ym"], ["city_id"])
+    write_table(env.withColumn("ym", month_of("date")), paths.mart("mart_environment_daily"), ["ym"], MART_KEYS["mart_environment_daily"])
     env = spark.read.parquet(paths.mart("mart_environment_daily")).drop("ym")
 
     fx = M.fx_daily(read_fact(spark, paths, "fact_fx_daily"), dim)
-    write_table(fx.withColumn("ym", month_of("date")), paths.mart("mart_fx_daily"), ["ym"], ["city_id"])
+    write_table(fx.withColumn("ym", month_of("date")), paths.mart("mart_fx_daily"), ["ym"], MART_KEYS["mart_fx_daily"])
     fx = spark.read.parquet(paths.mart("mart_fx_daily")).drop("ym")
 
     mob = M.mobility_daily(env, read_fact(spark, paths, "fact_osm_infrastructure"))
-    write_table(mob.withColumn("ym", month_of("date")), paths.mart("mart_mobility_daily"), ["ym"], ["city_id"])
+    write_table(mob.withColumn("ym", month_of("date")), paths.mart("mart_mobility_daily"), ["ym"], MART_KEYS["mart_mobility_daily"])
     mob = spark.read.parquet(paths.mart("mart_mobility_daily")).drop("ym")
 
     ci = M.city_intelligence_daily(env, fx, mob, read_fact(spark, paths, "fact_news_intensity"), dim, as_of)
-    write_table(ci.withColumn("ym", month_of("date")), paths.mart("mart_city_intelligence_daily"), ["ym"], ["city_id"])
+    write_table(ci.withColumn("ym", month_of("date")), paths.mart("mart_city_intelligence_daily"), ["ym"], MART_KEYS["mart_city_intelligence_daily"])
     return {"rows_loaded": len(MARTS)}
 
 

@@ -45,7 +45,9 @@ def write_table(
 ) -> None:
     """Write parquet, range-partitioned on (partition, sort keys) so each task
     writes few partition folders with key-sorted row groups (min/max
-    statistics then skip row groups on key filters)."""
+    statistics then skip row groups on key filters). Pass the table's full
+    unique key as ``sort_by``: range bounds can then split a hot key value
+    across tasks, which a hash or a partial-key range cannot."""
     keys = [*partition_by, *sort_by]
     out = df.repartitionByRange(*keys).sortWithinPartitions(*keys) if keys else df
     writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
