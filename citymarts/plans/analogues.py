@@ -132,7 +132,7 @@ def dim_city(spark: SparkSession, folder: str) -> DataFrame:
         F.col("n_nationkey").cast("bigint").alias("city_id"),
         F.col("n_name").alias("city_name"),
         F.col("r_name").alias("country"),
-        F.upper(F.substring("n_name", 1, 2)).alias("country_code"),
+        F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("country_code"),
         F.col("n_regionkey").alias("currency_code"),
         F.coalesce(F.col("population"), F.lit(0).cast("bigint")).alias("population"),
     )

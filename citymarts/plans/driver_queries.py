@@ -520,6 +520,37 @@ def radius_catchment_q(spark, folder):
     return hits.groupBy("city_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+def distinct_countries(spark, folder):
+    """Distinct sorted country codes of the city dimension."""
+    return S.distinct_countries(A.dim_city(spark, folder))
+
+
+def score_history(spark, folder):
+    """Composite history projection."""
+    return S.score_history(Marts(spark, folder).composite())
+
+
+def environment_view(spark, folder):
+    """Environment mart with city names."""
+    m = Marts(spark, folder)
+    return S.environment_view(m.env, m.dim)
+
+
+def fx_change_series(spark, folder):
+    """FX change series deduped to (currency, date), NULL changes dropped."""
+    return S.fx_change_series(Marts(spark, folder).fx_mart).select("currency", "date", "units_per_usd", "day_pct_change")
+
+
+def city_directory(spark, folder):
+    """The city dimension listing."""
+    return S.city_directory(A.dim_city(spark, folder))
+
+
+def news_daily(spark, folder):
+    """Daily news mart."""
+    return S.news_daily(A.news_fact(A.events(spark, folder)), NUDGE)
+
+
 QUERIES = {
     "json_scalar_extract": json_scalar_extract,
     "content_hash": content_hash_q,
@@ -568,4 +599,10 @@ QUERIES = {
     "kpi_missing_audit": kpi_missing_audit,
     "poi_counts": poi_counts_q,
     "radius_catchment": radius_catchment_q,
+    "distinct_countries": distinct_countries,
+    "score_history": score_history,
+    "environment_view": environment_view,
+    "fx_change_series": fx_change_series,
+    "city_directory": city_directory,
+    "news_daily": news_daily,
 }

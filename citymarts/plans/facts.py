@@ -224,3 +224,39 @@ def all_facts(raw: DataFrame) -> dict[str, DataFrame]:
         "fact_economic_indicator": economic_indicator(raw),
         "fact_osm_infrastructure": osm_infrastructure(raw),
     }
+
+
+def fx_cross_check(
+    raw: DataFrame,
+    primary: DataFrame,
+    currencies: Sequence[str] = ("GHS",),
+    source: str = "fx_frankfurter",
+    digits: int = 4,
+) -> DataFrame:
+    """Cross-rate consistency of the second FX source.
+
+    The cross-check source quotes a EUR base; units per USD are
+    ``rates[c] / rates.USD``. Joined to the primary FX fact on (currency,
+    day), with the deviation in percent of the primary rate.
+    """
+    r = raw_of(raw, source).select("checksum", F.try_parse_json("payload").alias("_v"))
+    v = F.col("_v")
+    usd = F.try_variant_get(v, "$.rates.USD", "double")
+    cross = r.select(
+        F.to_date(F.try_variant_get(v, "$.date", "string")).alias("rate_date"),
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(c).alias("currency"),
+                        F.try_divide(F.try_variant_get(v, f"$.rates.{c}", "double"), usd).alias("cross_units_per_usd"),
+                    )
+                    for c in currencies
+                ]
+            )
+        ),
+    ).where(F.col("cross_units_per_usd").isNotNull() & F.col("rate_date").isNotNull())
+    cross = latest_by_key(cross, ["currency", "rate_date"], "cross_units_per_usd")
+    j = primary.select("currency", "rate_date", "units_per_usd").join(cross, ["currency", "rate_date"])
+    dev = F.try_divide(F.col("cross_units_per_usd") - F.col("units_per_usd"), F.col("units_per_usd")) * F.lit(100.0)
+    return j.withColumn("deviation_pct", F.bround(dev, digits))

@@ -234,3 +234,8 @@ def news_daily(news: DataFrame, nudge: float = 0.0) -> DataFrame:
 def preview(df: DataFrame, order: list, n: int = 12) -> DataFrame:
     """First ``n`` rows under a total order (a preview is a top-k)."""
     return df.orderBy(*order).limit(n)
+
+
+def distinct_countries(dim: DataFrame) -> DataFrame:
+    """The sorted distinct country codes of the city dimension."""
+    return dim.select("country_code").distinct().orderBy("country_code")

@@ -209,3 +209,15 @@ def test_refresh_chain_end_to_end(spark, evidence, workdir):
     assert dup and all(r.status == "duplicate" and r.rows_loaded == 0 for r in dup)
     stages = log.where("source_id LIKE 'stage:%' AND run_id = 'r1'").collect()
     assert {s.source_id for s in stages} == {"stage:raw_sync", "stage:facts", "stage:marts"}
+
+
+def test_fx_cross_check(spark, workdir):
+    root = os.path.join(workdir, "raw")
+    write_envelope(root, "fx_rates", "global", {"result": "success", "time_last_update_utc": "Tue, 22 Sep 2026 00:02:31 +0000",
+                                                 "rates": {"GHS": 12.0}}, "2026-09-22T06:00:00+00:00")
+    write_envelope(root, "fx_frankfurter", "global", {"base": "EUR", "date": "2026-09-22", "rates": {"USD": 1.2, "GHS": 15.0}},
+                   "2026-09-22T06:00:00+00:00")
+    raw = scan_envelopes(spark, root)
+    r = FB.fx_cross_check(raw, FB.fx_daily(raw)).first()
+    assert (r.currency, r.units_per_usd, r.cross_units_per_usd) == ("GHS", 12.0, pytest.approx(12.5))
+    assert r.deviation_pct == pytest.approx(4.1667)
