@@ -23,8 +23,10 @@ from citymarts.operators.scoring import pillar_contributions, standings
 from citymarts.operators.timeseries import lag_pct_change
 from citymarts.operators.unnest import record_array_unnest, wide_to_long, zip_arrays_unnest
 from citymarts.plans import analogues as A
+from citymarts.plans import facts as FB
 from citymarts.plans import marts as M
 from citymarts.plans import serving as S
+from citymarts.operators.joins import bounded_broadcast
 from citymarts.sources.dims import dim_city_seed
 from citymarts.sources.tables import DRIVER_TABLES, load
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -551,6 +553,87 @@ def news_daily(spark, folder):
     return S.news_daily(A.news_fact(A.events(spark, folder)), NUDGE)
 
 
+
+def _raw_rows(source: str, scope, payload, ingested_at, path_key):
+    """Raw-table-shaped rows (``schemas.RAW``) from derived payload text."""
+    return [
+        F.lit(source).alias("source"),
+        content_hash(payload).alias("checksum"),
+        scope.cast("string").alias("scope_id"),
+        payload.alias("payload"),
+        ingested_at.alias("ingested_at"),
+        F.concat(F.lit(f"{source}/"), path_key.cast("string")).alias("raw_file_path"),
+    ]
+
+
+def _order_delivery_time():
+    # one delivery per order: order day + order key in microseconds (unique)
+    return F.timestamp_add("MICROSECOND", F.col("o_orderkey"), F.col("o_orderdate")).cast("timestamp_ntz")
+
+
+def fx_fact_builder(spark, folder):
+    """F3 on evidence-shaped payloads: one FX response per order (status P
+    = failed response; GHS missing when orderkey % 7 = 0); RFC-2822 update
+    time; newest delivery per (currency, day) wins."""
+    o = load(spark, folder, "orders")
+    payload = F.to_json(
+        F.struct(
+            F.when(F.col("o_orderstatus") == "P", F.lit("error")).otherwise(F.lit("success")).alias("result"),
+            F.date_format("o_orderdate", "EEE, dd MMM yyyy HH:mm:ss +0000").alias("time_last_update_utc"),
+            F.struct(
+                (F.col("o_totalprice") / F.lit(1000.0)).alias("NGN"),
+                F.when(F.col("o_orderkey") % 7 == 0, F.lit(None)).otherwise(F.col("o_totalprice") / F.lit(50000.0)).alias("GHS"),
+            ).alias("rates"),
+        )
+    )
+    raw = o.select(*_raw_rows("fx_rates", F.lit("global"), payload, _order_delivery_time(), F.col("o_orderkey")))
+    return FB.fx_daily(raw).select("currency", "rate_date", "units_per_usd", "ingested_at")
+
+
+def indicator_records(spark, folder):
+    """F5 on evidence-shaped payloads ``[{page}, [records]]``: one record per
+    order (country = nation, indicator = priority, date = year); newest
+    delivery per (country, indicator, year) wins."""
+    o = load(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice")
+    c = load(spark, folder, "customer").select("c_custkey", "c_nationkey")
+    n = load(spark, folder, "nation").select("n_nationkey", "n_name")
+    j = o.join(c, o["o_custkey"] == c["c_custkey"]).join(
+        bounded_broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    record = F.to_json(
+        F.array(
+            F.struct(
+                F.struct(F.col("o_orderpriority").alias("id")).alias("indicator"),
+                F.struct(F.upper("n_name").alias("id")).alias("country"),
+                F.year("o_orderdate").cast("string").alias("date"),
+                F.col("o_totalprice").alias("value"),
+            )
+        )
+    )
+    payload = F.concat(F.lit('[{"page": 1}, '), record, F.lit("]"))
+    raw = j.select(*_raw_rows("world_bank", F.col("n_name"), payload, _order_delivery_time(), F.col("o_orderkey")))
+    return FB.economic_indicator(raw).select("country_code", "indicator", "year", "value")
+
+
+def infrastructure_snapshots(spark, folder):
+    """F6 on evidence-shaped payloads: one count object per signup event;
+    snapshot day = delivery day; newest delivery per (city, day) wins."""
+    ev = A.events(spark, folder).where(F.col("event_type") == "signup")
+    payload = F.to_json(
+        F.struct(
+            (F.col("k") * 10).alias("transit_nodes_total"),
+            (F.col("k") * 6).alias("bus_stops"),
+            (F.col("k") * 4).alias("transit_stations"),
+            (F.col("k") * 3).alias("fuel_stations_total"),
+            (F.col("k") * 2).alias("commercial_nodes_total"),
+            F.col("k").alias("commercial_banks"),
+            F.col("k").alias("commercial_marketplaces"),
+        )
+    )
+    raw = ev.select(*_raw_rows("osm_infrastructure", F.col("city_id"), payload, F.col("ts"), F.col("event_id")))
+    return FB.osm_infrastructure(raw).drop("source_id", "raw_checksum")
+
+
 QUERIES = {
     "json_scalar_extract": json_scalar_extract,
     "content_hash": content_hash_q,
@@ -605,4 +688,7 @@ QUERIES = {
     "fx_change_series": fx_change_series,
     "city_directory": city_directory,
     "news_daily": news_daily,
+    "fx_fact_builder": fx_fact_builder,
+    "indicator_records": indicator_records,
+    "infrastructure_snapshots": infrastructure_snapshots,
 }
