@@ -44,6 +44,9 @@ HEADLINE = [
     "freshness_verdict",
     "quarantine_split",
     "gates_report",
+    "fx_fact_builder",
+    "indicator_records",
+    "infrastructure_snapshots",
 ]
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 #   RFC 2822         Thu, 24 Sep 2026 00:02:31 +0000   (FX update time)
 COMPACT_UTC = "yyyyMMdd'T'HHmmssX"
 RFC_2822_NO_WEEKDAY = "d MMM yyyy HH:mm:ss Z"
+COMPACT_SHAPE = r"^[0-9]{8}T[0-9]{6}Z$"
 
 
 def best_effort_ts(text: Column | str) -> Column:
@@ -20,9 +21,11 @@ def best_effort_ts(text: Column | str) -> Column:
     zone-aware parses land on UTC wall-clock time when made zone-less.
     """
     t = F.trim(F.col(text) if isinstance(text, str) else text)
+    # Each format is only attempted on text of its shape: a failed parse is
+    # far more expensive than the shape test, and most rows fail two of three.
     parsed = F.coalesce(
-        F.try_to_timestamp(t),
-        F.try_to_timestamp(t, F.lit(COMPACT_UTC)),
-        F.try_to_timestamp(F.substring_index(t, ", ", -1), F.lit(RFC_2822_NO_WEEKDAY)),
+        F.when(~t.contains(", ") & ~t.rlike(COMPACT_SHAPE), F.try_to_timestamp(t)),
+        F.when(t.rlike(COMPACT_SHAPE), F.try_to_timestamp(t, F.lit(COMPACT_UTC))),
+        F.when(t.contains(", "), F.try_to_timestamp(F.substring_index(t, ", ", -1), F.lit(RFC_2822_NO_WEEKDAY))),
     )
     return parsed.cast("timestamp_ntz")

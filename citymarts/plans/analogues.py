@@ -43,9 +43,10 @@ def k_of(props: str = "props"):
     return F.try_variant_get(F.try_parse_json(F.col(props)), "$.k", "bigint")
 
 
-def events(spark: SparkSession, folder: str) -> DataFrame:
-    """Events with ``k``, ``city_id`` and the UTC day ``d``."""
-    e = load(spark, folder, "events")
+def events(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
+    """Events with ``k``, ``city_id`` and the UTC day ``d`` (``spread``: see
+    ``sources.tables.load``)."""
+    e = load(spark, folder, "events", spread=spread)
     return e.select(
         "event_id",
         "ts",

@@ -475,7 +475,7 @@ def kpi_missing_audit(spark, folder):
 
 
 def _poi_payloads(spark, folder):
-    ev = A.events(spark, folder)
+    ev = A.events(spark, folder, spread=True)
     et = F.col("event_type")
     highway = F.when(et == "signup", F.lit("bus_stop"))
     amenity = (
@@ -554,16 +554,26 @@ def news_daily(spark, folder):
 
 
 
-def _raw_rows(source: str, scope, payload, ingested_at, path_key):
-    """Raw-table-shaped rows (``schemas.RAW``) from derived payload text."""
-    return [
-        F.lit(source).alias("source"),
-        content_hash(payload).alias("checksum"),
+def _raw_rows(df, source: str, scope, payload, ingested_at, path_key):
+    """Raw-table-shaped rows (``schemas.RAW``) from derived payload text.
+
+    The payload text is built deterministically (fixed field order), so its
+    SHA-256 is already a content key; it is materialised once and hashed.
+    """
+    staged = df.select(
         scope.cast("string").alias("scope_id"),
         payload.alias("payload"),
         ingested_at.alias("ingested_at"),
         F.concat(F.lit(f"{source}/"), path_key.cast("string")).alias("raw_file_path"),
-    ]
+    )
+    return staged.select(
+        F.lit(source).alias("source"),
+        F.sha2(F.col("payload"), 256).alias("checksum"),
+        "scope_id",
+        "payload",
+        "ingested_at",
+        "raw_file_path",
+    )
 
 
 def _order_delivery_time():
@@ -575,7 +585,7 @@ def fx_fact_builder(spark, folder):
     """F3 on evidence-shaped payloads: one FX response per order (status P
     = failed response; GHS missing when orderkey % 7 = 0); RFC-2822 update
     time; newest delivery per (currency, day) wins."""
-    o = load(spark, folder, "orders")
+    o = load(spark, folder, "orders", spread=True)
     payload = F.to_json(
         F.struct(
             F.when(F.col("o_orderstatus") == "P", F.lit("error")).otherwise(F.lit("success")).alias("result"),
@@ -586,7 +596,7 @@ def fx_fact_builder(spark, folder):
             ).alias("rates"),
         )
     )
-    raw = o.select(*_raw_rows("fx_rates", F.lit("global"), payload, _order_delivery_time(), F.col("o_orderkey")))
+    raw = _raw_rows(o, "fx_rates", F.lit("global"), payload, _order_delivery_time(), F.col("o_orderkey"))
     return FB.fx_daily(raw).select("currency", "rate_date", "units_per_usd", "ingested_at")
 
 
@@ -594,7 +604,8 @@ def indicator_records(spark, folder):
     """F5 on evidence-shaped payloads ``[{page}, [records]]``: one record per
     order (country = nation, indicator = priority, date = year); newest
     delivery per (country, indicator, year) wins."""
-    o = load(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice")
+    o = load(spark, folder, "orders", spread=True)
+    o = o.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice")
     c = load(spark, folder, "customer").select("c_custkey", "c_nationkey")
     n = load(spark, folder, "nation").select("n_nationkey", "n_name")
     j = o.join(c, o["o_custkey"] == c["c_custkey"]).join(
@@ -611,7 +622,7 @@ def indicator_records(spark, folder):
         )
     )
     payload = F.concat(F.lit('[{"page": 1}, '), record, F.lit("]"))
-    raw = j.select(*_raw_rows("world_bank", F.col("n_name"), payload, _order_delivery_time(), F.col("o_orderkey")))
+    raw = _raw_rows(j, "world_bank", F.col("n_name"), payload, _order_delivery_time(), F.col("o_orderkey"))
     return FB.economic_indicator(raw).select("country_code", "indicator", "year", "value")
 
 
@@ -630,7 +641,7 @@ def infrastructure_snapshots(spark, folder):
             F.col("k").alias("commercial_marketplaces"),
         )
     )
-    raw = ev.select(*_raw_rows("osm_infrastructure", F.col("city_id"), payload, F.col("ts"), F.col("event_id")))
+    raw = _raw_rows(ev, "osm_infrastructure", F.col("city_id"), payload, F.col("ts"), F.col("event_id"))
     return FB.osm_infrastructure(raw).drop("source_id", "raw_checksum")
 
 

@@ -23,6 +23,19 @@ DRIVER_TABLES = [
 ]
 
 
-def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """``<folder>/<name>.parquet`` as a DataFrame (lazy; columns pruned on use)."""
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+def load(spark: SparkSession, folder: str, name: str, spread: bool = False) -> DataFrame:
+    """``<folder>/<name>.parquet`` as a DataFrame (lazy; columns pruned on use).
+
+    ``spread=True`` is for queries with heavy per-row work (JSON building or
+    parsing) before their first shuffle: a file with a single row group is
+    read by one task, so such a scan is spread round-robin over the default
+    parallelism when it has fewer splits than that. A large input already
+    has many splits and is returned untouched (no extra shuffle).
+    """
+    df = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    if not spread:
+        return df
+    want = spark.sparkContext.defaultParallelism
+    if want > 1 and df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
