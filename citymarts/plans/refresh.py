@@ -37,7 +37,7 @@ from citymarts.schemas import (
 )
 from citymarts.sources.dims import dim_city_seed, dim_source_seed
 from citymarts.sources.envelopes import envelope_rejects, scan_envelopes
-from citymarts.sources.sinks import append_rows, month_of, read_table, write_table
+from citymarts.sources.sinks import append_rows, month_of, read_table, upsert_partitions, write_table
 
 FACT_SCHEMAS = {
     "fact_weather_hourly": FACT_WEATHER_HOURLY,
@@ -87,7 +87,18 @@ class Paths:
 # ------------------------------------------------------------------ stages
 
 
-def sync_raw(spark: SparkSession, raw_dir: str, paths: Paths, run_id: str, as_of: str) -> dict:
+class RunState:
+    """What one run changed: the new raw rows and, per fact, the partitions
+    they touched (``None`` = everything, i.e. a full rebuild)."""
+
+    def __init__(self):
+        self.new_raw: DataFrame | None = None
+        self.touched: dict[str, list[str]] | None = None
+
+
+def sync_raw(
+    spark: SparkSession, raw_dir: str, paths: Paths, run_id: str, as_of: str, state: RunState | None = None
+) -> dict:
     """R1+R4: append deliveries not yet stored (key source, scope, checksum);
     log per-(source, scope) outcomes; quarantine unusable files."""
     incoming = scan_envelopes(spark, raw_dir)
@@ -116,20 +127,50 @@ def sync_raw(spark: SparkSession, raw_dir: str, paths: Paths, run_id: str, as_of
     append_rows(log_rows.withColumn("ym", month_of("started_at")), paths.log, ["ym"])
     rejects = envelope_rejects(spark, raw_dir, as_of)
     append_rows(rejects.withColumn("ym", month_of("quarantined_at")), paths.quarantine, ["ym"])
+    if state is not None:
+        state.new_raw = new_rows
     row = counts.first()
     return {"rows_received": row["received"], "rows_loaded": row["inserted"]}
 
 
-def build_facts(spark: SparkSession, paths: Paths, as_of: str) -> dict:
-    """F1-F6 from the whole raw table (idempotent: newest version per key)."""
-    raw = read_table(spark, paths.raw, RAW)
-    total = 0
+def _fact_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path)
+        return True
+    except Exception:  # noqa: BLE001 - absent table
+        return False
+
+
+def build_facts(spark: SparkSession, paths: Paths, as_of: str, state: RunState | None = None) -> dict:
+    """F1-F6. Full mode rebuilds every fact from the whole raw table
+    (idempotent: newest version per key). Incremental mode (``state`` with
+    new raw rows and existing facts) builds fact rows from the new raw rows
+    only and merges them into the partitions they touch
+    (``sinks.upsert_partitions``); untouched partitions are not read or
+    rewritten."""
+    incremental = (
+        state is not None
+        and state.new_raw is not None
+        and all(_fact_exists(spark, paths.fact(n)) for n in FACT_SCHEMAS)
+    )
+    raw = state.new_raw if incremental else read_table(spark, paths.raw, RAW)
+    touched: dict[str, list[str]] = {}
     for name, df in FB.all_facts(raw).items():
         df = df.withColumn("part", FACT_PARTITION[name]())
-        # range-partition on the full (unique) fact key: a hot city is split
-        # across write tasks instead of landing in one
-        write_table(df, paths.fact(name), ["part"], FACT_KEYS[name])
-        total += 1
+        if incremental:
+            df = df.checkpoint(eager=True)
+            # distinct partition values of the new rows: a handful of months
+            touched[name] = [r.part for r in df.select("part").distinct().collect()]
+            if touched[name]:
+                upsert_partitions(
+                    spark, df, paths.fact(name), FACT_KEYS[name], "ingested_at", ["raw_checksum"], "part", df.schema
+                )
+        else:
+            # range-partition on the full (unique) fact key: a hot city is split
+            # across write tasks instead of landing in one
+            write_table(df, paths.fact(name), ["part"], FACT_KEYS[name])
+    if state is not None:
+        state.touched = touched if incremental else None
     rejects = FB.hourly_rejects(raw, "open_meteo_weather", FB.WEATHER_FIELDS).unionByName(
         FB.hourly_rejects(raw, "open_meteo_air_quality", FB.AIR_QUALITY_FIELDS)
     )
@@ -142,35 +183,87 @@ def build_facts(spark: SparkSession, paths: Paths, as_of: str) -> dict:
         F.col("checksum").alias("raw_checksum"),
     ).select(*QUARANTINE.fieldNames())
     append_rows(q.withColumn("ym", month_of("quarantined_at")), paths.quarantine, ["ym"])
-    return {"rows_loaded": total}
+    return {"rows_loaded": sum(len(v) for v in touched.values()) if incremental else len(FACT_SCHEMAS)}
 
 
-def read_fact(spark: SparkSession, paths: Paths, name: str) -> DataFrame:
-    return read_table(spark, paths.fact(name), FACT_SCHEMAS[name]).drop("part")
+def read_fact(spark: SparkSession, paths: Paths, name: str, months: list[str] | None = None) -> DataFrame:
+    """A fact table; ``months`` prunes to those partitions (``None`` = all)."""
+    df = read_table(spark, paths.fact(name), FACT_SCHEMAS[name])
+    if months is not None and "part" in df.columns:
+        df = df.where(F.col("part").isin(months))
+    return df.drop("part")
 
 
-def build_marts(spark: SparkSession, paths: Paths, as_of: str) -> dict:
-    """M1-M4, in dependency order; the environment mart is read back once
-    written because mobility and the composite both consume it."""
-    dim = dim_city_seed(spark)
-    write_table(dim, f"{paths.dims}/dim_city")
-    write_table(dim_source_seed(spark), f"{paths.dims}/dim_source")
+def read_mart(spark: SparkSession, paths: Paths, name: str, months: list[str] | None = None) -> DataFrame:
+    df = spark.read.parquet(paths.mart(name))
+    if months is not None:
+        df = df.where(F.col("ym").isin(months))
+    return df.drop("ym")
+
+
+def _write_mart(df: DataFrame, paths: Paths, name: str) -> None:
+    # dynamic overwrite: only the months present in ``df`` are replaced
+    write_table(df.withColumn("ym", month_of("date")), paths.mart(name), ["ym"], MART_KEYS[name])
 
-    env = M.environment_daily(read_fact(spark, paths, "fact_weather_hourly"), read_fact(spark, paths, "fact_air_quality_hourly"))
-    write_table(env.withColumn("ym", month_of("date")), paths.mart("mart_environment_daily"), ["ym"], MART_KEYS["mart_environment_daily"])
-    env = spark.read.parquet(paths.mart("mart_environment_daily")).drop("ym")
 
-    fx = M.fx_daily(read_fact(spark, paths, "fact_fx_daily"), dim)
-    write_table(fx.withColumn("ym", month_of("date")), paths.mart("mart_fx_daily"), ["ym"], MART_KEYS["mart_fx_daily"])
-    fx = spark.read.parquet(paths.mart("mart_fx_daily")).drop("ym")
+def _union(*groups):
+    if any(g is None for g in groups):
+        return None
+    return sorted({m for g in groups for m in g})
 
-    mob = M.mobility_daily(env, read_fact(spark, paths, "fact_osm_infrastructure"))
-    write_table(mob.withColumn("ym", month_of("date")), paths.mart("mart_mobility_daily"), ["ym"], MART_KEYS["mart_mobility_daily"])
-    mob = spark.read.parquet(paths.mart("mart_mobility_daily")).drop("ym")
 
-    ci = M.city_intelligence_daily(env, fx, mob, read_fact(spark, paths, "fact_news_intensity"), dim, as_of)
-    write_table(ci.withColumn("ym", month_of("date")), paths.mart("mart_city_intelligence_daily"), ["ym"], MART_KEYS["mart_city_intelligence_daily"])
-    return {"rows_loaded": len(MARTS)}
+def build_marts(spark: SparkSession, paths: Paths, as_of: str, state: RunState | None = None) -> dict:
+    """M1-M4 in dependency order; each mart is read back once written
+    because later marts consume it.
+
+    After an incremental fact merge only the affected months are recomputed
+    (facts and marts are read with partition pruning, and the dynamic
+    overwrite replaces just those months). A new infrastructure snapshot
+    changes every day of the mobility and composite marts (the latest
+    snapshot is repeated on each day), so those are then rebuilt in full.
+    """
+    t = state.touched if state is not None else None
+    full = t is None
+    m_env = None if full else _union(t["fact_weather_hourly"], t["fact_air_quality_hourly"])
+    m_fx = None if full else t["fact_fx_daily"]
+    infra_changed = full or bool(t["fact_osm_infrastructure"])
+    m_mob = None if infra_changed else m_env
+    m_ci = None if infra_changed else _union(m_env, m_fx, t["fact_news_intensity"])
+
+    dim = dim_city_seed(spark)
+    write_table(dim, f"{paths.dims}/dim_city")
+    write_table(dim_source_seed(spark), f"{paths.dims}/dim_source")
+
+    if m_env is None or m_env:
+        env = M.environment_daily(
+            read_fact(spark, paths, "fact_weather_hourly", m_env), read_fact(spark, paths, "fact_air_quality_hourly", m_env)
+        )
+        _write_mart(env, paths, "mart_environment_daily")
+
+    if m_fx is None or m_fx:
+        # the whole FX fact is read (one row per currency-day): the first day
+        # of a month needs the previous observation, wherever it is
+        fx = M.fx_daily(read_fact(spark, paths, "fact_fx_daily"), dim)
+        if m_fx is not None:
+            fx = fx.where(month_of("date").isin(m_fx))
+        _write_mart(fx, paths, "mart_fx_daily")
+
+    if m_mob is None or m_mob:
+        mob = M.mobility_daily(read_mart(spark, paths, "mart_environment_daily", m_mob),
+                               read_fact(spark, paths, "fact_osm_infrastructure"))
+        _write_mart(mob, paths, "mart_mobility_daily")
+
+    if m_ci is None or m_ci:
+        ci = M.city_intelligence_daily(
+            read_mart(spark, paths, "mart_environment_daily", m_ci),
+            read_mart(spark, paths, "mart_fx_daily", m_ci),
+            read_mart(spark, paths, "mart_mobility_daily", m_ci),
+            read_fact(spark, paths, "fact_news_intensity", m_ci),
+            dim,
+            as_of,
+        )
+        _write_mart(ci, paths, "mart_city_intelligence_daily")
+    return {"rows_loaded": len(MARTS) if m_ci is None else len(m_ci)}
 
 
 def quality_gates(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -223,15 +316,22 @@ def refresh(
     out_dir: str,
     as_of: str | None = None,
     run_id: str | None = None,
+    incremental: bool = False,
 ) -> int:
-    """Run raw sync -> facts -> marts -> gates; 0 ok, 1 stage failed, 2 gate failed."""
+    """Run raw sync -> facts -> marts -> gates; 0 ok, 1 stage failed, 2 gate failed.
+
+    ``incremental=True`` merges only the new deliveries into the facts and
+    recomputes only the affected mart months (the first run, with no fact
+    tables yet, is always a full build).
+    """
     as_of = as_of or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     run_id = run_id or str(uuid.uuid4())
     paths = Paths(out_dir)
+    state = RunState() if incremental else None
     stages = [
-        ("raw_sync", lambda: sync_raw(spark, raw_dir, paths, run_id, as_of)),
-        ("facts", lambda: build_facts(spark, paths, as_of)),
-        ("marts", lambda: build_marts(spark, paths, as_of)),
+        ("raw_sync", lambda: sync_raw(spark, raw_dir, paths, run_id, as_of, state)),
+        ("facts", lambda: build_facts(spark, paths, as_of, state)),
+        ("marts", lambda: build_marts(spark, paths, as_of, state)),
     ]
     # The run's clock is ``as_of``: stage rows are stamped as_of + elapsed,
     # so a backfill for a past day logs (and later reads fresh) consistently.

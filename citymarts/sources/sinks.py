@@ -86,6 +86,8 @@ def upsert_partitions(
     existing = read_table(spark, path, schema)
     if partition_col not in existing.columns:
         existing = existing.withColumn(partition_col, F.lit(None).cast("string"))
+    existing = existing.withColumn(partition_col, F.col(partition_col).cast("string"))
+    new_rows = new_rows.withColumn(partition_col, F.col(partition_col).cast("string"))
     touched = new_rows.select(partition_col).distinct()
     affected = existing.join(touched, partition_col, "left_semi")
     merged = latest_by_key(affected.unionByName(new_rows), list(keys), version, list(tiebreak))
