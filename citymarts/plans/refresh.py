@@ -163,7 +163,8 @@ def build_facts(spark: SparkSession, paths: Paths, as_of: str, state: RunState |
             touched[name] = [r.part for r in df.select("part").distinct().collect()]
             if touched[name]:
                 upsert_partitions(
-                    spark, df, paths.fact(name), FACT_KEYS[name], "ingested_at", ["raw_checksum"], "part", df.schema
+                    spark, df, paths.fact(name), FACT_KEYS[name], "ingested_at", ["raw_checksum"], "part", df.schema,
+                    partitions=touched[name],
                 )
         else:
             # range-partition on the full (unique) fact key: a hot city is split

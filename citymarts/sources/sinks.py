@@ -73,11 +73,13 @@ def upsert_partitions(
     tiebreak: Sequence[str],
     partition_col: str,
     schema: StructType,
+    partitions: Sequence[str] | None = None,
 ) -> DataFrame:
     """Merge ``new_rows`` into a keyed table, newest version per key wins.
 
     Only partitions that receive new rows are read and rewritten: existing
-    rows of those partitions (semi-join on the partition value) are unioned
+    rows of those partitions (``partitions`` as a literal list for static
+    pruning, else a semi-join on the partition value) are unioned
     with the new rows, collapsed by key, checkpointed to the shared
     checkpoint folder (the job must not overwrite a path it is still
     reading) and written with dynamic partition overwrite.
@@ -88,8 +90,12 @@ def upsert_partitions(
         existing = existing.withColumn(partition_col, F.lit(None).cast("string"))
     existing = existing.withColumn(partition_col, F.col(partition_col).cast("string"))
     new_rows = new_rows.withColumn(partition_col, F.col(partition_col).cast("string"))
-    touched = new_rows.select(partition_col).distinct()
-    affected = existing.join(touched, partition_col, "left_semi")
+    if partitions is not None:
+        # literal partition list: static pruning, untouched partitions are never listed or read
+        affected = existing.where(F.col(partition_col).isin([str(p) for p in partitions]))
+    else:
+        touched = new_rows.select(partition_col).distinct()
+        affected = existing.join(touched, partition_col, "left_semi")
     merged = latest_by_key(affected.unionByName(new_rows), list(keys), version, list(tiebreak))
     merged = merged.checkpoint(eager=True)
     write_table(merged, path, [partition_col], list(keys))

@@ -39,10 +39,14 @@ def _merge(facts_dir: str, tables):
         raw = batch.select(*RAW.fieldNames())
         for name in tables:
             build, part = BUILDERS[name]
-            rows = build(raw).withColumn("part", part())
+            rows = build(raw).withColumn("part", part()).checkpoint(eager=True)
+            touched = [r.part for r in rows.select("part").distinct().collect()]  # a few months
+            if not touched:
+                continue
             schema = StructType(list(rows.schema.fields))
             upsert_partitions(
-                spark, rows, f"{facts_dir}/{name}", FACT_KEYS[name], "ingested_at", ["raw_checksum"], "part", schema
+                spark, rows, f"{facts_dir}/{name}", FACT_KEYS[name], "ingested_at", ["raw_checksum"], "part", schema,
+                partitions=touched,
             )
 
     return handle
