@@ -221,3 +221,16 @@ def test_fx_cross_check(spark, workdir):
     r = FB.fx_cross_check(raw, FB.fx_daily(raw)).first()
     assert (r.currency, r.units_per_usd, r.cross_units_per_usd) == ("GHS", 12.0, pytest.approx(12.5))
     assert r.deviation_pct == pytest.approx(4.1667)
+
+
+def test_refresh_with_missing_sources_fails_gates_not_stages(spark, workdir):
+    root = os.path.join(workdir, "raw")
+    write_envelope(root, "open_meteo_weather", "ng_lagos",
+                   hourly(["2026-09-23T00:00"], temperature_2m=[27.0], precipitation=[1.0],
+                          relative_humidity_2m=[80], wind_speed_10m=[3]), T0)
+    out = os.path.join(workdir, "wh")
+    assert refresh(spark, root, out, as_of="2026-09-24 00:00:00", run_id="m1", incremental=True) == 2
+    p = Paths(out)
+    failed = {(g.table, g.rule) for g in spark.read.parquet(p.gates).where("NOT passed").collect()}
+    assert ("fact_fx_daily", "non_empty") in failed and ("fact_weather_hourly", "non_empty") not in failed
+    assert spark.read.parquet(p.mart("mart_city_intelligence_daily")).count() == 1
