@@ -35,7 +35,9 @@ def load(spark: SparkSession, folder: str, name: str, spread: bool = False) -> D
     df = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
     if not spread:
         return df
-    want = spark.sparkContext.defaultParallelism
-    if want > 1 and df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API (e.g. a remote session): leave the scan as is
+        return df
+    return df.repartition(want) if want > 1 and splits < want else df
