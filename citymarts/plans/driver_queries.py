@@ -645,6 +645,32 @@ def infrastructure_snapshots(spark, folder):
     return FB.osm_infrastructure(raw).drop("source_id", "raw_checksum")
 
 
+
+def pillar_breakdown(spark, folder):
+    """S4 as served: pillars of the latest-date standings, weighted points."""
+    b = S.pillar_breakdown(Marts(spark, folder).composite(), NUDGE)
+    return b.select("city_id", "city_name", "rank", "pillar", "score", "weight", "points")
+
+
+def mobility_view(spark, folder):
+    """Mobility mart with city name and population."""
+    m = Marts(spark, folder)
+    return S.mobility_view(m.mobility, m.dim)
+
+
+def mobility_metric_melt(spark, folder):
+    """Density and per-100k metrics of the latest day as (metric, value) rows."""
+    m = Marts(spark, folder)
+    latest = S.latest_mobility_per_100k(m.mobility, m.dim, NUDGE)
+    return S.mobility_metric_melt(latest)
+
+
+def city_options(spark, folder):
+    """Distinct city names present in the environment view."""
+    m = Marts(spark, folder)
+    return S.city_options(S.environment_view(m.env, m.dim))
+
+
 QUERIES = {
     "json_scalar_extract": json_scalar_extract,
     "content_hash": content_hash_q,
@@ -702,4 +728,8 @@ QUERIES = {
     "fx_fact_builder": fx_fact_builder,
     "indicator_records": indicator_records,
     "infrastructure_snapshots": infrastructure_snapshots,
+    "pillar_breakdown": pillar_breakdown,
+    "mobility_view": mobility_view,
+    "mobility_metric_melt": mobility_metric_melt,
+    "city_options": city_options,
 }
