@@ -22,6 +22,29 @@ DRIVER_TABLES = [
     "conversations",
 ]
 
+# Column names and types of the test tables (identical at every
+# scale). Declaring them skips the schema-inference job that every
+# ``spark.read.parquet`` otherwise launches to read a footer.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+    "benchmark": "item_id BIGINT, text STRING",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+}
+
 
 def load(spark: SparkSession, folder: str, name: str, spread: bool = False) -> DataFrame:
     """``<folder>/<name>.parquet`` as a DataFrame (lazy; columns pruned on use).
@@ -31,8 +54,14 @@ def load(spark: SparkSession, folder: str, name: str, spread: bool = False) -> D
     read by one task, so such a scan is spread round-robin over the default
     parallelism when it has fewer splits than that. A large input already
     has many splits and is returned untouched (no extra shuffle).
+
+    The known tables are read with their declared schema (no inference
+    job); any other name falls back to the files' own schema.
     """
-    df = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    df = reader.parquet(f"{folder.rstrip('/')}/{name}.parquet")
     if not spread:
         return df
     try:
