@@ -9,7 +9,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from citymarts.session import build_session
+from citymarts.session import apply_scale_conf, build_session, input_size
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -22,10 +22,14 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--run-id", default=None)
     r.add_argument("--incremental", action="store_true", help="merge new deliveries, rebuild affected months only")
     r.add_argument("--master", default=None, help="Spark master (default: from the environment)")
+    r.add_argument(
+        "--input-bytes", type=int, default=None, help="input volume for partition sizing (default: size of --raw)"
+    )
     args = parser.parse_args(argv)
 
     spark = build_session(master=args.master)
     try:
+        apply_scale_conf(spark, args.input_bytes if args.input_bytes is not None else input_size(spark, args.raw))
         from citymarts.plans.refresh import refresh
 
         return refresh(spark, args.raw, args.out, args.as_of, args.run_id, incremental=args.incremental)

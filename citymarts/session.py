@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 
@@ -56,3 +57,56 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="citymarts-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir()
+
+
+# Partition sizing (bytes of compressed input per scan split and per shuffle
+# partition); see ``scale_conf``.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def scale_conf(
+    input_bytes: int,
+    cores: int | None = None,
+    target_partition_bytes: int = TARGET_PARTITION_BYTES,
+    expansion: float = 2.0,
+) -> dict:
+    """Partition sizing for a run that reads ``input_bytes`` of input.
+
+    Scan splits are ``target_partition_bytes``; the initial shuffle partition
+    count is what a shuffle of the whole (decompressed, ``expansion`` x) input
+    needs to stay near the target per partition, rounded up to a multiple of
+    ``cores`` (whole waves) and capped to keep the map x reduce block count
+    manageable. AQE then coalesces small shuffles to the same target and splits
+    partitions above twice the target in skewed joins, so one hot key does not
+    become one oversized task.
+    """
+    wanted = math.ceil(input_bytes * expansion / target_partition_bytes)
+    parts = max(200, min(MAX_SHUFFLE_PARTITIONS, wanted))
+    if cores:
+        parts = math.ceil(parts / cores) * cores
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+    }
+
+
+def input_size(spark: SparkSession, path: str) -> int:
+    """Total bytes under ``path`` (one file-system metadata call, no job)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength()) if fs.exists(hpath) else 0
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int) -> dict:
+    """Set the ``scale_conf`` values the deployment has not set itself
+    (cluster settings win); returns what was applied."""
+    given = spark.sparkContext.getConf()
+    cores = spark.sparkContext.defaultParallelism
+    applied = {k: v for k, v in scale_conf(input_bytes, cores).items() if not given.contains(k)}
+    for key, value in applied.items():
+        spark.conf.set(key, value)
+    return applied
