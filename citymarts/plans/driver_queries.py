@@ -7,6 +7,8 @@ reads whole tables and composes the library operators (see
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,19 +42,51 @@ BATCH_SIZE = 64  # events per synthetic delivery payload (bounds every array)
 
 
 class Marts:
-    """The analogue facts and marts of one dataset folder, built lazily once."""
+    """The analogue facts and marts of one dataset folder; each is planned on
+    first use, so a query pays only for the marts it reads."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.ev = A.events(spark, folder)
-        self.dim = A.dim_city(spark, folder)
-        self.weather = A.weather_fact(self.ev)
-        self.air = A.air_quality_fact(self.ev)
-        self.news = A.news_fact(self.ev)
-        self.infra = A.infra_fact(self.ev)
-        self.fx = A.fx_fact(self.ev, self.dim)
-        self.env = M.environment_daily(self.weather, self.air, nudge=NUDGE)
-        self.fx_mart = M.fx_daily(self.fx, self.dim, max_dim_rows=None, nudge=NUDGE)
-        self.mobility = M.mobility_daily(self.env, self.infra, nudge=NUDGE)
+        self.spark, self.folder = spark, folder
+
+    @cached_property
+    def ev(self) -> DataFrame:
+        return A.events(self.spark, self.folder)
+
+    @cached_property
+    def dim(self) -> DataFrame:
+        return A.dim_city(self.spark, self.folder)
+
+    @cached_property
+    def weather(self) -> DataFrame:
+        return A.weather_fact(self.ev)
+
+    @cached_property
+    def air(self) -> DataFrame:
+        return A.air_quality_fact(self.ev)
+
+    @cached_property
+    def news(self) -> DataFrame:
+        return A.news_fact(self.ev)
+
+    @cached_property
+    def infra(self) -> DataFrame:
+        return A.infra_fact(self.ev)
+
+    @cached_property
+    def fx(self) -> DataFrame:
+        return A.fx_fact(self.ev, self.dim)
+
+    @cached_property
+    def env(self) -> DataFrame:
+        return M.environment_daily(self.weather, self.air, nudge=NUDGE)
+
+    @cached_property
+    def fx_mart(self) -> DataFrame:
+        return M.fx_daily(self.fx, self.dim, max_dim_rows=None, nudge=NUDGE)
+
+    @cached_property
+    def mobility(self) -> DataFrame:
+        return M.mobility_daily(self.env, self.infra, nudge=NUDGE)
 
     def composite(self) -> DataFrame:
         return M.city_intelligence_daily(
