@@ -37,6 +37,7 @@ from citymarts.schemas import (
 )
 from citymarts.sources.dims import dim_city_seed, dim_source_seed
 from citymarts.sources.envelopes import envelope_rejects, scan_envelopes
+from citymarts.session import ensure_checkpoint_dir
 from citymarts.sources.sinks import append_rows, month_of, read_table, upsert_partitions, write_table
 
 FACT_SCHEMAS = {
@@ -345,6 +346,7 @@ def refresh(
     recomputes only the affected mart months (the first run, with no fact
     tables yet, is always a full build).
     """
+    ensure_checkpoint_dir(spark)  # lineage is cut in the shared checkpoint folder: fail before any stage
     as_of = as_of or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     run_id = run_id or str(uuid.uuid4())
     paths = Paths(out_dir)

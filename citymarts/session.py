@@ -43,17 +43,28 @@ def build_session(
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
+    if _is_local(spark) or spark.conf.get("spark.checkpoint.dir", None):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
+def _is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only if unset."""
+    """Return the shared checkpoint folder the cluster names in
+    ``spark.checkpoint.dir``. Only a local session (tests, a laptop) gets a
+    private scratch folder when it is unset; on a cluster a machine-local
+    folder would not be readable by other executors, so that is an error.
+    """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not _is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="citymarts-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir()

@@ -1,6 +1,15 @@
-"""Session defaults and partition sizing."""
+"""Session defaults, checkpoint folder and partition sizing."""
 
-from citymarts.session import MAX_SHUFFLE_PARTITIONS, TARGET_PARTITION_BYTES, apply_scale_conf, input_size, scale_conf
+import pytest
+
+from citymarts.session import (
+    MAX_SHUFFLE_PARTITIONS,
+    TARGET_PARTITION_BYTES,
+    apply_scale_conf,
+    ensure_checkpoint_dir,
+    input_size,
+    scale_conf,
+)
 
 TB = 1024**4
 
@@ -42,3 +51,25 @@ def test_input_size_reads_metadata(spark):
 
 def test_checkpoint_dir_is_set(spark):
     assert spark.sparkContext.getCheckpointDir()
+
+
+class _ClusterSession:
+    """Just enough of a session on a cluster master with no checkpoint folder."""
+
+    class sparkContext:  # noqa: N801
+        master = "spark://cluster:7077"
+
+        @staticmethod
+        def getCheckpointDir():  # noqa: N802
+            return None
+
+    class conf:  # noqa: N801
+        @staticmethod
+        def get(key, default=None):
+            return default
+
+
+def test_cluster_without_checkpoint_dir_is_refused():
+    """A machine-local scratch folder is only used by a local session."""
+    with pytest.raises(RuntimeError, match="shared"):
+        ensure_checkpoint_dir(_ClusterSession())
