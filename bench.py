@@ -18,6 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from citymarts.plans.driver_queries import QUERIES  # noqa: E402
 from citymarts.session import build_session  # noqa: E402
+from citymarts.sources.tables import DRIVER_TABLES  # noqa: E402
 
 HEADLINE = [
     "composite_score",
@@ -50,6 +51,18 @@ HEADLINE = [
 ]
 
 
+def _input_rows(sf_dir: str) -> dict[str, int]:
+    """Row count of every input table, from the parquet footers (no Spark job)."""
+    import pyarrow.parquet as pq
+
+    out = {}
+    for name in DRIVER_TABLES:
+        path = os.path.join(sf_dir, f"{name}.parquet")
+        if os.path.exists(path):
+            out[name] = pq.ParquetFile(path).metadata.num_rows
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -66,6 +79,8 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     timings: dict[str, float] = {}
+    rows_out: dict[str, int] = {}
+    count_rows = os.environ.get("BENCH_ROWS", "1") == "1"
     for name in names:
         fn = QUERIES[name]
         samples = []
@@ -76,10 +91,13 @@ def main() -> None:
             if i > 0:
                 samples.append(dt)
         timings[name] = round(statistics.median(samples), 3)
+        if count_rows:
+            rows_out[name] = fn(spark, sf_dir).count()  # untimed
     total = round(sum(timings.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "sum_of_median_query_seconds", "value": total, "unit": "sec",
-                      "queries": timings, "sf": sf, "cpus": cpus, "runs": runs}))
+                      "queries": timings, "sf": sf, "cpus": cpus, "runs": runs,
+                      "rows_out": rows_out, "input_rows": _input_rows(sf_dir)}))
     spark.stop()
 
 
