@@ -80,20 +80,36 @@ def radius_catchment(
     touches (longitude span widened by 1/cos(latitude)). The equi-join on the
     cell replaces a cross join; the exact haversine test then drops the
     corners. Only candidates inside a centre's box are ever paired.
+
+    A box that crosses longitude +-180 is also laid out shifted by 360
+    degrees, so it covers the cells on the other side of the date line; the
+    (centre, cell) list is made distinct, so a point (one cell) meets each
+    centre at most once.
     """
     cell = radius_m / (math.pi * EARTH_RADIUS_M / 180.0)  # degrees of latitude per radius
     lat, lon = F.col(centre_lat), F.col(centre_lon)
     edge_lat = F.least(F.lit(89.999), F.abs(lat) + F.lit(cell))
     dlon = F.least(F.lit(180.0), F.lit(cell) / F.cos(F.radians(edge_lat)))
+    shifted = centres.select(
+        F.col(centre_id).alias("_cid"),
+        lat.alias("_clat"),
+        lon.alias("_clon"),
+        dlon.alias("_dlon"),
+        F.explode(F.transform(F.array(F.lit(0.0), F.lit(-360.0), F.lit(360.0)), lambda s: lon + s)).alias("_blon"),
+    ).where((F.col("_blon") - F.col("_dlon") <= 180.0) & (F.col("_blon") + F.col("_dlon") >= -180.0))
+    blon, bdlon = F.col("_blon"), F.col("_dlon")
     cells = (
-        centres.select(
-            F.col(centre_id).alias("_cid"),
-            lat.alias("_clat"),
-            lon.alias("_clon"),
-            F.explode(F.sequence(F.floor((lat - cell) / cell), F.floor((lat + cell) / cell))).alias("_glat"),
-            F.sequence(F.floor((lon - dlon) / cell), F.floor((lon + dlon) / cell)).alias("_glons"),
+        shifted.select(
+            "_cid",
+            "_clat",
+            "_clon",
+            F.explode(F.sequence(F.floor((F.col("_clat") - cell) / cell), F.floor((F.col("_clat") + cell) / cell))).alias(
+                "_glat"
+            ),
+            F.sequence(F.floor((blon - bdlon) / cell), F.floor((blon + bdlon) / cell)).alias("_glons"),
         )
         .select("_cid", "_clat", "_clon", "_glat", F.explode("_glons").alias("_glon"))
+        .dropDuplicates(["_cid", "_glat", "_glon"])
     )
     cells = bounded_broadcast(cells, max_centres * 16)
     pts = points.withColumn("_glat", F.floor(F.col(point_lat) / cell)).withColumn(

@@ -144,6 +144,21 @@ def test_radius_catchment_matches_bruteforce(spark, radius):
     assert got == want
 
 
+
+@pytest.mark.parametrize("radius", [15_000.0, 100_000.0, 600_000.0])
+def test_radius_catchment_across_the_antimeridian_and_poles(spark, radius):
+    """Boxes that cross longitude +-180 (and near-pole boxes spanning all
+    longitudes) still find every point, each pair exactly once."""
+    rng = random.Random(5)
+    pts = [(i, rng.uniform(-8, 8), rng.choice([-1, 1]) * rng.uniform(172, 180)) for i in range(1200)]
+    pts += [(5000 + i, rng.uniform(84, 90), rng.uniform(-180, 180)) for i in range(300)]
+    centres = [("east", 0.5, 179.95), ("west", -1.0, -179.9), ("date", 3.0, 180.0), ("pole", 88.5, -170.0)]
+    p = spark.createDataFrame(pts, "pid int, lat double, lon double")
+    c = spark.createDataFrame(centres, "city_id string, latitude double, longitude double")
+    got = sorted((r.city_id, r.pid) for r in radius_catchment(p, c, radius).collect())
+    want = sorted((cid, pid) for pid, la, lo in pts for cid, cla, clo in centres if _hav(la, lo, cla, clo) <= radius)
+    assert got == want
+
 def test_haversine_expression(spark):
     df = spark.createDataFrame([(6.5244, 3.3792, 5.6037, -0.1870)], "a double, b double, c double, d double")
     got = df.select(haversine_m(F.col("a"), F.col("b"), F.col("c"), F.col("d")).alias("x")).first().x
