@@ -636,6 +636,28 @@ def fx_fact_builder(spark, folder):
     return FB.fx_daily(raw).select("currency", "rate_date", "units_per_usd", "ingested_at")
 
 
+
+def fx_cross_check_q(spark, folder):
+    """Second FX source checked against the F3 rates. One EUR-based
+    quote per order (USD rate varies with the customer, GHS follows the
+    order value); the newest quote per day wins; GHS cross rate = GHS / USD,
+    joined to the builder's GHS rate of the day with the deviation in %."""
+    o = load(spark, folder, "orders", spread=True)
+    payload = F.to_json(
+        F.struct(
+            F.lit(1.0).alias("amount"),
+            F.lit("EUR").alias("base"),
+            F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+            F.struct(
+                (F.col("o_totalprice") / F.lit(50000.0) * F.lit(1.08)).alias("GHS"),
+                (F.lit(1.1) + (F.col("o_custkey") % 5) / F.lit(100.0)).alias("USD"),
+            ).alias("rates"),
+        )
+    )
+    cross_raw = _raw_rows(o, "fx_frankfurter", F.lit("global"), payload, _order_delivery_time(), F.col("o_orderkey"))
+    checked = FB.fx_cross_check(cross_raw, fx_fact_builder(spark, folder), ["GHS"])
+    return checked.select("currency", "rate_date", "units_per_usd", "cross_units_per_usd", "deviation_pct")
+
 def indicator_records(spark, folder):
     """F5 on evidence-shaped payloads ``[{page}, [records]]``: one record per
     order (country = nation, indicator = priority, date = year); newest
@@ -762,6 +784,7 @@ QUERIES = {
     "city_directory": city_directory,
     "news_daily": news_daily,
     "fx_fact_builder": fx_fact_builder,
+    "fx_cross_check": fx_cross_check_q,
     "indicator_records": indicator_records,
     "infrastructure_snapshots": infrastructure_snapshots,
     "pillar_breakdown": pillar_breakdown,

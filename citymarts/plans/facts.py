@@ -239,10 +239,12 @@ def fx_cross_check(
     ``rates[c] / rates.USD``. Joined to the primary FX fact on (currency,
     day), with the deviation in percent of the primary rate.
     """
-    r = raw_of(raw, source).select("checksum", F.try_parse_json("payload").alias("_v"))
+    r = raw_of(raw, source).select("checksum", "ingested_at", F.try_parse_json("payload").alias("_v"))
     v = F.col("_v")
     usd = F.try_variant_get(v, "$.rates.USD", "double")
     cross = r.select(
+        "checksum",
+        "ingested_at",
         F.to_date(F.try_variant_get(v, "$.date", "string")).alias("rate_date"),
         F.inline(
             F.array(
@@ -256,7 +258,8 @@ def fx_cross_check(
             )
         ),
     ).where(F.col("cross_units_per_usd").isNotNull() & F.col("rate_date").isNotNull())
-    cross = latest_by_key(cross, ["currency", "rate_date"], "cross_units_per_usd")
+    # several deliveries quote the same day: the newest one wins (as for every fact)
+    cross = latest_by_key(cross, ["currency", "rate_date"], "ingested_at", "checksum").drop("ingested_at", "checksum")
     j = primary.select("currency", "rate_date", "units_per_usd").join(cross, ["currency", "rate_date"])
     dev = F.try_divide(F.col("cross_units_per_usd") - F.col("units_per_usd"), F.col("units_per_usd")) * F.lit(100.0)
     return j.withColumn("deviation_pct", F.bround(dev, digits))

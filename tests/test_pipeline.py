@@ -223,6 +223,21 @@ def test_fx_cross_check(spark, workdir):
     assert r.deviation_pct == pytest.approx(4.1667)
 
 
+def test_fx_cross_check_newest_delivery_wins(spark, workdir):
+    root = os.path.join(workdir, "raw")
+    write_envelope(root, "fx_rates", "global", {"result": "success", "time_last_update_utc": "Tue, 22 Sep 2026 00:02:31 +0000",
+                                                 "rates": {"GHS": 12.0}}, "2026-09-22T06:00:00+00:00")
+    write_envelope(root, "fx_frankfurter", "global", {"base": "EUR", "date": "2026-09-22", "rates": {"USD": 1.2, "GHS": 15.0}},
+                   "2026-09-22T06:00:00+00:00")
+    # a later delivery for the same day revises the quote downwards: it must win, not the larger rate
+    write_envelope(root, "fx_frankfurter", "global", {"base": "EUR", "date": "2026-09-22", "rates": {"USD": 1.25, "GHS": 15.0}},
+                   "2026-09-22T18:00:00+00:00")
+    raw = scan_envelopes(spark, root)
+    rows = FB.fx_cross_check(raw, FB.fx_daily(raw)).collect()
+    assert len(rows) == 1 and rows[0].cross_units_per_usd == pytest.approx(12.0)
+    assert rows[0].deviation_pct == 0.0
+
+
 def test_refresh_with_missing_sources_fails_gates_not_stages(spark, workdir):
     root = os.path.join(workdir, "raw")
     write_envelope(root, "open_meteo_weather", "ng_lagos",
