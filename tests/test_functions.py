@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from citymarts.functions import (
     best_effort_ts,
     bucket,

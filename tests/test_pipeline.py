@@ -1,7 +1,6 @@
 """Golden tests: evidence files -> raw -> facts -> marts (+ refresh chain)."""
 
 import datetime as dt
-import json
 import os
 
 import pytest

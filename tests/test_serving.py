@@ -3,7 +3,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from citymarts.operators.freshness import freshness_summary, freshness_verdict
 from citymarts.plans import serving as S

@@ -1,7 +1,5 @@
 import os
 
-import pytest
-
 from citymarts.streaming import fact_upsert_stream, raw_sync_stream
 from tests.envelopes import hourly, write_envelope
 
