@@ -21,6 +21,7 @@ from citymarts.operators.unnest import (
     parse_parallel_arrays,
     record_array_unnest,
     wide_to_long,
+    with_parsed,
     zip_arrays_rejects,
     zip_arrays_unnest,
 )

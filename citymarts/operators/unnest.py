@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructField, StructType
 
@@ -14,20 +14,33 @@ def _parallel_schema(root: str, fields: Mapping[str, tuple[str, DataType]]) -> S
     return StructType([StructField(root, inner, True)]) if root else inner
 
 
+def with_parsed(df: DataFrame, keep: Sequence[str], parsed: Column, name: str) -> DataFrame:
+    """``keep`` columns plus ``parsed`` AS ``name``, evaluated once per row.
+
+    Catalyst pushes a later filter below the projection that defines a column
+    by substituting the column's expression into the predicate, so filters on
+    fields of a parsed payload would parse it again once per reference. A
+    one-element ``inline`` makes the parsed value a generator output: filters
+    on it stay above the generator and the payload is parsed exactly once.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(parsed.alias(name)))))
+
+
 def parse_parallel_arrays(
     df: DataFrame, json_col: str, root: str, fields: Mapping[str, tuple[str, DataType]]
 ) -> DataFrame:
     """Parse the payload once into a struct of typed arrays (``_arrays``) and
     add ``_zip_ok``: all arrays present with one common length."""
     parsed = F.from_json(F.col(json_col), _parallel_schema(root, fields))
-    arrays = parsed[root] if root else parsed
+    df = with_parsed(df, df.columns, parsed[root] if root else parsed, "_arrays")
+    arrays = F.col("_arrays")
     ok = arrays.isNotNull()
     for src in fields:
         ok = ok & arrays[src].isNotNull()
     sizes = [F.size(arrays[src]) for src in fields]
     for s in sizes[1:]:
         ok = ok & (s == sizes[0])
-    return df.withColumn("_arrays", arrays).withColumn("_zip_ok", F.coalesce(ok, F.lit(False)))
+    return df.withColumn("_zip_ok", F.coalesce(ok, F.lit(False)))
 
 
 def zip_arrays_unnest(

@@ -18,7 +18,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from citymarts.functions.timeparse import best_effort_ts
 from citymarts.operators.geo import poi_counts
 from citymarts.operators.latest import latest_by_key
-from citymarts.operators.unnest import record_array_unnest, zip_arrays_rejects, zip_arrays_unnest
+from citymarts.operators.unnest import record_array_unnest, with_parsed, zip_arrays_rejects, zip_arrays_unnest
 from citymarts.schemas import (
     FACT_AIR_QUALITY_HOURLY,
     FACT_ECONOMIC_INDICATOR,
@@ -120,7 +120,7 @@ def fx_daily(raw: DataFrame, currencies: Sequence[str] = FX_CURRENCIES, source:
     scan (one ``inline`` of an array of structs, not a UNION of scans).
     Missing rates are dropped.
     """
-    r = raw_of(raw, source).select("checksum", "ingested_at", F.try_parse_json("payload").alias("_v"))
+    r = with_parsed(raw_of(raw, source), ["checksum", "ingested_at"], F.try_parse_json("payload"), "_v")
     v = F.col("_v")  # parsed once, read per field
     parsed = r.select(
         F.try_variant_get(v, "$.result", "string").alias("result"),
@@ -181,7 +181,7 @@ def economic_indicator(raw: DataFrame, source: str = "world_bank") -> DataFrame:
 
 def osm_infrastructure(raw: DataFrame, source: str = "osm_infrastructure") -> DataFrame:
     """seven scalar counts per delivery; snapshot date = ingestion day."""
-    parsed = raw_of(raw, source).select(*LINEAGE, F.try_parse_json("payload").alias("_v"))
+    parsed = with_parsed(raw_of(raw, source), LINEAGE, F.try_parse_json("payload"), "_v")
     v = F.col("_v")  # parsed once, read per field
     out = parsed.select(
         F.col("scope_id").alias("city_id"),
@@ -239,7 +239,7 @@ def fx_cross_check(
     ``rates[c] / rates.USD``. Joined to the primary FX fact on (currency,
     day), with the deviation in percent of the primary rate.
     """
-    r = raw_of(raw, source).select("checksum", "ingested_at", F.try_parse_json("payload").alias("_v"))
+    r = with_parsed(raw_of(raw, source), ["checksum", "ingested_at"], F.try_parse_json("payload"), "_v")
     v = F.col("_v")
     usd = F.try_variant_get(v, "$.rates.USD", "double")
     cross = r.select(

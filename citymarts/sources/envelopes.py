@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citymarts.functions.timeparse import best_effort_ts
+from citymarts.operators.unnest import with_parsed
 from citymarts.schemas import QUARANTINE, RAW
 
 # The evidence sources and the raw table each one feeds.
@@ -61,7 +62,7 @@ def parse_envelopes(files: DataFrame) -> DataFrame:
     """Parse each file once; adds ``_ok`` (valid JSON with checksum, scope,
     timestamp and payload)."""
     v = F.try_parse_json(F.col("value"))
-    parsed = files.select("source_folder", "raw_file_path", "value", v.alias("_v"))
+    parsed = with_parsed(files, ["source_folder", "raw_file_path", "value"], v, "_v")
     env = parsed.select(
         F.coalesce(F.try_variant_get("_v", "$.source", "string"), F.col("source_folder")).alias("source"),
         F.try_variant_get("_v", "$.checksum", "string").alias("checksum"),

@@ -6,6 +6,8 @@ Spark actually builds (not only on results).
   a row limit appears only where it is the feature (the top-50 log tail);
 * keyed "newest wins" operators aggregate map-side instead of windowing;
 * predicates and column pruning reach the parquet scan;
+* every envelope and every payload is parsed once per row, even though
+  later filters read its fields;
 * a broadcast hint is placed only when the size check passes;
 * results stay exact when one key holds a large share of the rows.
 """
@@ -13,6 +15,8 @@ Spark actually builds (not only on results).
 import contextlib
 import io
 import json
+import os
+import re
 
 import pandas as pd
 import pytest
@@ -22,7 +26,10 @@ from citymarts.operators.delivery import flag_first_delivery
 from citymarts.operators.joins import bounded_broadcast
 from citymarts.operators.latest import dedupe_first, latest_by_key
 from citymarts.plans import analogues as A
+from citymarts.plans import facts as FB
+from citymarts.sources.envelopes import scan_envelopes
 from citymarts.sources.tables import load
+from tests import test_pipeline as P
 
 SF = "/root/testdata/sf0.001"
 
@@ -89,6 +96,22 @@ def test_event_type_predicate_and_pruning_reach_the_scan(spark):
     assert scan and all("props" not in line for line in scan)
 
 
+
+def test_fact_builders_parse_each_payload_once(spark, workdir):
+    """Filters on parsed fields must not be pushed below the parse (which
+    would repeat it once per referenced field): one envelope parse plus one
+    payload parse per builder."""
+    root = os.path.join(workdir, "raw")
+    for write in (P._weather, P._air, P._fx, P._news, P._world_bank, P._osm):
+        write(root)
+    raw = scan_envelopes(spark, root)
+    assert len(re.findall(r"parseJson\(", _formatted(raw).split("\n\n", 1)[1])) == 1
+    for name, df in FB.all_facts(raw).items():
+        body = _formatted(df).split("\n\n", 1)[1]
+        variant_parses = len(re.findall(r"parseJson\(", body))
+        text_parses = len(re.findall(r"from_json\(", body))
+        assert variant_parses + text_parses <= 2, name
+
 def test_broadcast_hint_only_behind_the_size_check(spark):
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
