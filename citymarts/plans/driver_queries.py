@@ -23,7 +23,7 @@ from citymarts.operators.quality import MinRows, Rule, gate_report, kpi_missing,
 from citymarts.operators.rollup import daily_rollup
 from citymarts.operators.scoring import pillar_contributions, standings
 from citymarts.operators.timeseries import lag_pct_change
-from citymarts.operators.unnest import record_array_unnest, wide_to_long, zip_arrays_unnest
+from citymarts.operators.unnest import record_array_unnest, wide_to_long, with_parsed, zip_arrays_unnest
 from citymarts.plans import analogues as A
 from citymarts.plans import facts as FB
 from citymarts.plans import marts as M
@@ -126,14 +126,10 @@ def strip_volatile_hash(spark, folder):
 
 
 def _deliveries(spark, folder):
+    # the checksum is a join key: as a generator output it is hashed once,
+    # not again in the IS NOT NULL filter Spark infers for join keys
     e = load(spark, folder, "events")
-    return e.select(
-        "event_id",
-        "ts",
-        "user_id",
-        "event_type",
-        content_hash("props").alias("checksum"),
-    )
+    return with_parsed(e, ["event_id", "ts", "user_id", "event_type"], content_hash("props"), "checksum")
 
 
 def _load_split(spark, folder):
