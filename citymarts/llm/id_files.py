@@ -24,6 +24,8 @@ from citymarts.llm.tokens import tokenizer
 #: Ids of a block, reached with whole documents (a longer document is a block of its own).
 BLOCK_IDS = 1 << 22
 END_ID = 0
+#: Stands for a NULL key in a block.
+NO_KEY = -(1 << 63)
 FORMAT = "part int, block int, n_docs long, n_ids long, data binary"
 
 
@@ -53,7 +55,7 @@ def write_ids(
 
         for b in batches:
             for at, some in texts(b.column(1)):
-                keys += b.column(0).slice(at, len(some)).to_pylist()
+                keys += b.column(0).slice(at, len(some)).fill_null(NO_KEY).to_pylist()
                 got = [x + end for x in tok.encode(some)]
                 ids += got
                 held += sum(map(len, got)) // 4
@@ -66,14 +68,14 @@ def write_ids(
             yield flush()
 
     docs = df.select(F.col(id_col).cast("long").alias("_key"), F.col(text_col).cast("string").alias("_text"))
-    docs = row_key(docs, "_key", "_text").select("_rid", "_text")
-    docs.repartitionByRange("_rid").sortWithinPartitions("_rid").mapInArrow(run, FORMAT).write.parquet(folder)
+    docs = row_key(docs, "_key", "_text").repartitionByRange("_rid").sortWithinPartitions("_rid")
+    docs.select("_key", "_text").mapInArrow(run, FORMAT).write.parquet(folder)
 
 
-def read_ids(spark: SparkSession, folder: str) -> DataFrame:
-    """``(_rid, start, ids)`` per document from the files: ``_rid`` is the row
-    key, ``start`` the ids of all documents before it, ``ids`` its ids (with
-    the end id) as little-endian unsigned 32-bit bytes. Damaged blocks fail."""
+def read_ids(spark: SparkSession, folder: str, id_col: str = "doc_id") -> DataFrame:
+    """``(id_col, start, ids)`` per document from the files: ``start`` is the
+    number of ids of all documents before it, ``ids`` its ids (with the end
+    id) as little-endian unsigned 32-bit bytes. Damaged blocks fail."""
     blocks = spark.read.schema(FORMAT).parquet(folder)
     index = blocks.select("part", "block", "n_ids")
     # one number per written part reaches the driver
@@ -93,7 +95,7 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
                     k = slice(i, min(len(keys), i + 256))
                     own = [raw[4 * x : 4 * (x + n)] for x, n in zip(starts[k].tolist(), lengths[k].tolist())]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys[k]), pa.array(starts[k] + (base[p] + s)), pa.array(own, pa.binary())], names=["_rid", "start", "ids"]
+                        [pa.array(keys[k], mask=keys[k] == NO_KEY), pa.array(starts[k] + (base[p] + s)), pa.array(own, pa.binary())], names=[id_col, "start", "ids"]
                     )
 
-    return blocks.join(shift, ["part", "block"]).select("part", "before", "data").mapInArrow(run, "_rid long, start long, ids binary")
+    return blocks.join(shift, ["part", "block"]).select("part", "before", "data").mapInArrow(run, f"`{id_col}` long, start long, ids binary")

@@ -1,5 +1,81 @@
-"""Stages of the corpus pipeline; each calls one operator of this folder."""
+"""Stages of the corpus pipeline; each calls one operator of this folder.
+
+Every stage takes ``(spark, docs, sf_dir)``; all but the last return the
+columns of ``documents`` (extra columns pass through).
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from citymarts.llm import language_id, packing, quality, simhash_dedup, suffix_dedup
+from citymarts.llm.common import byte_column, prepare, row_key, table
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier scores 0.5 or more."""
+    vectors, network = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, vectors, network, docs.columns)
+    return scored.where("score >= 0.5").select(*docs.columns)
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told with confidence; the declared language
+    and the source are the evidence beside the text. What a row is judged by
+    makes its key, so equal rows fare alike."""
+    judged = ["text", "lang", "source"]
+    key = F.xxhash64("doc_id", *judged)
+    named = docs.select(*docs.columns, key.alias("row_key"))
+    found = language_id.identify(named, ["doc_id", "row_key"], F.col("text"), F.col("lang"), F.col("source"))
+    gone = found.where("not kept").select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key")).distinct()
+    same = (named["row_key"] == gone["_key"]) & named["doc_id"].eqNullSafe(gone["_id"])
+    return named.join(gone, same, "left_anti").select(*docs.columns)
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of every SimHash group."""
+    prepare(spark)
+    rows = row_key(docs, "doc_id", "text")
+    groups = simhash_dedup.simhash_groups(rows, "_rid", "text")
+    gone = groups.where("component_id <> _rid").select("_rid")
+    return rows.join(gone, "_rid", "left_anti").select(*docs.columns)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without repeated byte strings; a character that lost a byte goes, ``n_chars`` is counted anew."""
+    rest = [c for c in docs.columns if c not in ("text", "n_chars")]
+    kept = suffix_dedup.remove_repeats(docs, rest)
+
+    def decode(batches):
+        for b in batches:
+            raw, off = byte_column(b.column(len(rest)))
+            out = [raw[s:e].tobytes().decode("utf-8", "ignore") for s, e in zip(off[:-1].tolist(), off[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(rest))), pa.array(out, pa.string())], names=[*rest, "text"])
+
+    schema = kept.select(*rest).schema.add("text", "string")
+    texts = kept.select(*rest, "kept").mapInArrow(decode, schema)
+    if "n_chars" in docs.columns:
+        texts = texts.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return texts.select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of packed sequences with their ids' checksum."""
+    prepare(spark)
+    return piece_digest(packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
+def piece_digest(pieces: DataFrame) -> DataFrame:
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+STAGES = [
+    ("quality classifier", good_documents),
+    ("language ID", known_language),
+    ("SimHash near-dedup", one_of_near_copies),
+    ("suffix-array dedup", without_repeats),
+    ("packing", packed),
+]
