@@ -22,7 +22,7 @@ from citymarts.llm.id_codec import decode_block, encode_block
 from citymarts.llm.tokens import tokenizer
 
 #: Ids of a block, reached with whole documents (a longer document is a block of its own).
-BLOCK_IDS = 1 << 22
+BLOCK_IDS = 1 << 21
 END_ID = 0
 #: Stands for a NULL key in a block.
 NO_KEY = -(1 << 63)

@@ -25,8 +25,9 @@ END_ID = 2
 WINDOWS = 128
 #: Ids of each sequence that differencing may leave free.
 SLACK = 8
-#: Lengths of the small pieces, one of each per sequence, that a pool's last documents are cut into.
-FILLERS = (128, 32, 16)
+#: Lengths of the small pieces, one of each per sequence, that a pool's last
+#: documents are cut into; the next set is tried where the sequences would not fit.
+FILLERS = ((128, 32, 16), (512, 256, 128, 64, 32, 16), (1024, 512, 512, 256, 128, 64, 32, 16))
 
 
 def differencing(sizes: list[int], m: int) -> list[list[int]]:
@@ -71,9 +72,10 @@ def differencing(sizes: list[int], m: int) -> list[list[int]]:
     return out
 
 
-def pack_windows(sizes: list[int], capacity: int) -> list[list[int]]:
+def pack_windows(sizes: list[int], capacity: int, most: int | None = None) -> list[list[int]] | None:
     """Groups of at most ``capacity``; their number starts at the least
-    possible and rises by one whenever differencing exceeds the capacity."""
+    possible and rises by one whenever differencing exceeds the capacity
+    (None if it would rise above ``most``)."""
     if max(sizes, default=0) > capacity:
         raise ValueError("a piece is longer than a sequence")
     m = max(1, -(-sum(sizes) // capacity))
@@ -82,6 +84,8 @@ def pack_windows(sizes: list[int], capacity: int) -> list[list[int]]:
         if max(sum(sizes[i] for i in g) for g in groups) <= capacity:
             return [g for g in groups if g]
         m += 1
+        if most is not None and m > most:
+            return None
 
 
 class Packer:
@@ -122,12 +126,18 @@ class Packer:
     def _deal(self):
         """Sequences of the whole pool."""
         count = max(1, -(-self.total // self.capacity))
-        pieces = []
-        for size in self.fillers:
-            for doc, start, ids, length in self._cut(min(self.total, size * count)):
-                pieces += [(doc, start + i, ids[i : i + size], length) for i in range(0, len(ids), size)]
-        pieces = self.pool + pieces
-        for group in pack_windows([len(p[2]) for p in pieces], self.capacity):
+        whole, total = self.pool, self.total
+        for sizes in self.fillers:
+            self.pool, self.total = list(whole), total
+            small = []
+            for size in sizes:
+                for doc, start, ids, length in self._cut(min(self.total, size * count)):
+                    small += [(doc, start + i, ids[i : i + size], length) for i in range(0, len(ids), size)]
+            pieces = self.pool + small
+            groups = pack_windows([len(p[2]) for p in pieces], self.capacity, count if sizes is not self.fillers[-1] else None)
+            if groups:
+                break
+        for group in groups:
             yield [pieces[i] for i in group]
         self.pool, self.total = [], 0
 

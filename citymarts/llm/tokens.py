@@ -18,7 +18,17 @@ _SOLID = "!-~¡-ᙿぁ-ヿ一-鿿가-힣"
 _UNSAFE = re.compile(f"[^{_SOLID}] ")
 _CUT = re.compile(f"(?<=[{_SOLID}])(?= )")
 #: Chunks kept per worker and generation.
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 200_000
+
+
+def _visible() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 stands for itself, other bytes for code points from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_VISIBLE = _visible()
 
 
 class Recent(dict):
@@ -75,20 +85,42 @@ class ChunkTokenizer:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.cut, self.lead = (line_words, "") if word_ends else (space_chunks, " ")
+        self.lead_byte = self.lead.translate(_VISIBLE)
         # new chunks are encoded many at a time with a mark between them that
         # is a match of its own and has an id that nothing else in them has
         self.mark = " \ue000 " if word_ends else "\x0b"
         self.odd = re.compile("[\ue000-\uefff]" if word_ends else f"^[^{_SOLID}]|^$|[^{_SOLID}]$|\x0b")
         self.mark_ids = self.tok.encode(self.mark, add_special_tokens=False).ids
+        # one word of letters, perhaps with a stop, is one match (and one more): the model merges it alone
+        self.plain = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,]?)\\Z").match
+        self.fold = str.lower if word_ends else str
+        self.merge = self.tok.model.tokenize
+        self.stops = {c: self._each([c])[0] if c else b"" for c in ("", ".", ",")}
         self.cache = Recent()
 
+    def _word(self, word: str) -> bytes:
+        got = self.merge(self.lead_byte + word.encode().decode("latin-1").translate(_VISIBLE))
+        return array("I", [t.id for t in got]).tobytes()
+
     def _each(self, chunks: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(chunks, add_special_tokens=False)]
 
     def _learn(self, missing: set[str]) -> None:
-        odd = self.odd.search
-        plain = [c for c in missing if not odd(c)]
-        rest = [c for c in missing if odd(c)]
+        odd, word, cache, fold = self.odd.search, self.plain, self.cache, self.fold
+        plain, rest = [], []
+        for c in missing:
+            m = word(c)
+            if m:
+                body, stop = m.groups()
+                body = fold(body)
+                ids = cache.get(body)
+                if ids is None:
+                    ids = self._word(body)
+                    if body not in missing:
+                        cache[body] = ids
+                cache[c] = ids + self.stops[stop]
+            else:
+                (rest if odd(c) else plain).append(c)
         for i in range(0, len(plain), 4096):
             part = plain[i : i + 4096]
             joined = self.mark.join([self.lead + c for c in part])
