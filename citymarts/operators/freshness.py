@@ -32,7 +32,8 @@ def freshness_summary(
     """One global aggregate row: newest trusted / error activity, their age in
     hour boundaries at ``as_of``, and counts inside the budget window."""
     ts, status, now = F.col(ts_col), F.col(status_col), _as_of(as_of)
-    is_ok, is_err = status.isin(list(ok_statuses)), status.isin(list(error_statuses))
+    past = ts <= now  # a run for a past day does not see later log rows
+    is_ok, is_err = status.isin(list(ok_statuses)) & past, status.isin(list(error_statuses)) & past
     window_start = now - F.make_dt_interval(F.lit(0), F.lit(budget_hours))
     agg = log.agg(
         F.max(F.when(is_ok, ts)).alias("latest_success_at"),

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, IntegralType, NumericType, TimestampNTZType, TimestampType
 
 
 def _as_list(x) -> list:
@@ -93,6 +93,8 @@ def _ascending_key(df: DataFrame, name: str, ascending: bool) -> Column:
     if ascending:
         return c
     dtype = df.schema[name].dataType
+    if isinstance(dtype, IntegralType):
+        return F.bitwise_not(c)  # reverses the order without overflow at the minimum
     if isinstance(dtype, NumericType):
         return -c
     if isinstance(dtype, (TimestampType, TimestampNTZType)):
@@ -109,11 +111,19 @@ def dedupe_first(
 ) -> DataFrame:
     """Keep the first row per ``subset`` under ``order`` = [(column, ascending)].
 
-    Equivalent to ``ORDER BY ...`` followed by drop-duplicates-keep-first; the
-    order must be total (end it with a unique column) to be deterministic.
+    Equivalent to ``ORDER BY ... NULLS LAST`` followed by
+    drop-duplicates-keep-first; the order must be total (end it with a unique
+    column) to be deterministic. Text can be descending only where every
+    column is.
     """
     subset = _as_list(subset)
     rest = [c for c in df.columns if c not in subset]
-    key = F.struct(*[_ascending_key(df, c, asc).alias(f"_o{i}") for i, (c, asc) in enumerate(order)])
-    picked = df.groupBy(*subset).agg(F.min_by(F.struct(*[F.col(c) for c in rest]), key).alias("_row"))
+    row, fields = F.struct(*[F.col(c) for c in rest]), []
+    backwards = bool(order) and not any(asc for _, asc in order)
+    for i, (c, asc) in enumerate(order):
+        missing = F.col(c).isNull()
+        value = F.col(c) if backwards else _ascending_key(df, c, asc)
+        fields += [(~missing if backwards else missing).alias(f"_n{i}"), value.alias(f"_o{i}")]
+    pick = F.max_by if backwards else F.min_by
+    picked = df.groupBy(*subset).agg(pick(row, F.struct(*fields)).alias("_row"))
     return picked.select(*subset, *[F.col("_row")[c].alias(c) for c in rest]).select(*df.columns)

@@ -102,11 +102,11 @@ def split_quarantine(
 
 
 # The text patterns a rendered KPI must not show.
-MISSING_KPI_PATTERN = r"(?i)\bnan\b|\bnone\b|\binf\b|^-+$"
+MISSING_KPI_PATTERN = r"(?i)\bnan\b|\bnone\b|\binf(?:inity)?\b|^-+$"
 
 
 def kpi_missing(df: DataFrame, id_cols: Sequence[str], kpi_cols: Sequence[str]) -> DataFrame:
-    """Rendered KPI values that read as missing: empty, or nan/none/inf/dashes.
+    """Rendered KPI values that read as missing: empty, or nan/none/inf/infinity/dashes.
 
     Returns (id_cols..., kpi, value_text, problem) for the offending cells only.
     """

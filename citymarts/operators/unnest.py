@@ -67,11 +67,14 @@ def zip_arrays_rejects(
     root: str,
     fields: Mapping[str, tuple[str, DataType]],
     keep: Sequence[str] = (),
+    with_missing_root: bool = False,
 ) -> DataFrame:
-    """Payloads that have a ``root`` object but unusable parallel arrays."""
-    parsed = parse_parallel_arrays(df, json_col, root, fields)
-    present = F.get_json_object(F.col(json_col), f"$.{root}").isNotNull() if root else F.lit(True)
-    return parsed.where(~F.col("_zip_ok") & present).select(*keep, json_col)
+    """Payloads that have a ``root`` object but unusable parallel arrays
+    (``with_missing_root``: those without the object too)."""
+    parsed = parse_parallel_arrays(df, json_col, root, fields).where(~F.col("_zip_ok"))
+    if root and not with_missing_root:
+        parsed = parsed.where(F.get_json_object(F.col(json_col), f"$.{root}").isNotNull())
+    return parsed.select(*keep, json_col)
 
 
 def record_array_unnest(

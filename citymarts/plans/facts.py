@@ -11,9 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
 from citymarts.functions.timeparse import best_effort_ts
 from citymarts.operators.geo import poi_counts
@@ -101,7 +101,7 @@ def hourly_rejects(raw: DataFrame, source: str, fields: dict) -> DataFrame:
     parse: (scope_id, checksum, rule, payload)."""
     spec = {src: (dst, StringType() if src == "time" else DoubleType()) for src, dst in fields.items()}
     r = raw_of(raw, source)
-    arrays = zip_arrays_rejects(r, "payload", "hourly", spec, keep=["scope_id", "checksum"]).select(
+    arrays = zip_arrays_rejects(r, "payload", "hourly", spec, keep=["scope_id", "checksum"], with_missing_root=True).select(
         "scope_id", "checksum", F.lit("unequal_arrays").alias("rule"), "payload"
     )
     times = _hourly(raw, source, fields).where(F.col("observed_at").isNull()).select(
@@ -214,6 +214,52 @@ def zero_snapshot_rejects(infra: DataFrame) -> DataFrame:
     return infra.where(total == 0)
 
 
+def fx_rejects(raw: DataFrame, source: str = "fx_rates") -> DataFrame:
+    """Rate responses that give no day: not successful, or with an unreadable date."""
+    r = with_parsed(raw_of(raw, source), ["scope_id", "checksum", "payload"], F.try_parse_json("payload"), "_v")
+    good = F.coalesce(F.try_variant_get("_v", "$.result", "string") == "success", F.lit(False))
+    day = F.to_date(best_effort_ts(F.try_variant_get("_v", "$.time_last_update_utc", "string")))
+    rule = F.when(~good, "unsuccessful_response").when(day.isNull(), "unparsable_date")
+    return r.withColumn("rule", rule).where("rule is not null").select("scope_id", "checksum", "rule", "payload")
+
+
+def record_rejects(raw: DataFrame, source: str, path: str, record: StructType, bad: Column | str, rule: str) -> DataFrame:
+    """Deliveries without a record array, and records that the condition ``bad`` catches (as JSON)."""
+    r = raw_of(raw, source)
+    found = F.from_json(F.get_json_object("payload", path), ArrayType(record))
+    none = r.where(found.isNull()).select("scope_id", "checksum", F.lit("missing_records").alias("rule"), "payload")
+    rows = record_array_unnest(r, "payload", path, record, keep=["scope_id", "checksum"]).where(bad)
+    text = F.to_json(F.struct(*[F.col(f) for f in record.fieldNames()]))
+    return none.unionByName(rows.select("scope_id", "checksum", F.lit(rule).alias("rule"), text.alias("payload")))
+
+
+def fact_rejects(raw: DataFrame) -> DataFrame:
+    """What the six builders leave out: (source, scope_id, checksum, rule,
+    payload). Records without a value (missing rates, NULL indicators) are
+    absent, not bad; a snapshot of zeros stays in the fact and is reported."""
+    zeros = zero_snapshot_rejects(osm_infrastructure(raw)).select(
+        F.col("city_id").alias("scope_id"), F.col("raw_checksum").alias("checksum"), F.lit("zero_snapshot").alias("rule"),
+        F.lit(None).cast("string").alias("payload"),
+    )
+    parts = {
+        "open_meteo_weather": hourly_rejects(raw, "open_meteo_weather", WEATHER_FIELDS),
+        "open_meteo_air_quality": hourly_rejects(raw, "open_meteo_air_quality", AIR_QUALITY_FIELDS),
+        "fx_rates": fx_rejects(raw),
+        "gdelt_news": record_rejects(
+            raw, "gdelt_news", "$.timeline[0].data", NEWS_RECORD, best_effort_ts("date").isNull(), "unparsable_time"
+        ),
+        "world_bank": record_rejects(
+            raw, "world_bank", "$[1]", INDICATOR_RECORD, "value IS NOT NULL AND try_cast(date AS INT) IS NULL", "unparsable_year"
+        ),
+        "osm_infrastructure": zeros,
+    }
+    out = None
+    for source, part in parts.items():
+        part = part.select(F.lit(source).alias("source"), "scope_id", "checksum", "rule", "payload")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def all_facts(raw: DataFrame) -> dict[str, DataFrame]:
     """The six facts from one raw table."""
     return {

@@ -12,12 +12,15 @@ committed data.
 
 from __future__ import annotations
 
+import logging
 import time
 import uuid
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
+from pyspark.sql.types import StringType, StructField, StructType
 
 from citymarts.operators.delivery import delivery_outcomes, load_new
 from citymarts.operators.quality import MinRows, Rule, gate_report
@@ -40,6 +43,8 @@ from citymarts.sources.envelopes import envelope_rejects, scan_envelopes
 from citymarts.session import ensure_checkpoint_dir
 from citymarts.sources.sinks import append_rows, month_of, read_table, upsert_partitions, write_table
 
+LOG = logging.getLogger(__name__)
+
 FACT_SCHEMAS = {
     "fact_weather_hourly": FACT_WEATHER_HOURLY,
     "fact_air_quality_hourly": FACT_AIR_QUALITY_HOURLY,
@@ -77,6 +82,7 @@ class Paths:
         self.log = f"{base}/ingestion_log"
         self.quarantine = f"{base}/quarantine"
         self.gates = f"{base}/quality/gates"
+        self.commits = f"{base}/commits"
 
     def fact(self, name: str) -> str:
         return f"{self.facts}/{name}"
@@ -89,27 +95,64 @@ class Paths:
 
 
 class RunState:
-    """What one run changed: the new raw rows and, per fact, the partitions
-    they touched (``None`` = everything, i.e. a full rebuild)."""
+    """What one run changed: per fact, the partitions that its uncommitted
+    loads touched (``None`` = everything, i.e. a full rebuild)."""
 
     def __init__(self):
-        self.new_raw: DataFrame | None = None
         self.touched: dict[str, list[str]] | None = None
 
 
+COMMITS = StructType([StructField("load_id", StringType())])
+
+
+def pending_loads(spark: SparkSession, paths: Paths) -> list[str]:
+    """Loads whose rows are in raw but were not carried through to the marts:
+    this run's, and those of earlier runs that failed half way."""
+    raw = read_table(spark, paths.raw, RAW)
+    if "load_id" not in raw.columns:
+        return []
+    done = read_table(spark, paths.commits, COMMITS)
+    loads = raw.select("load_id").distinct()
+    return sorted(r.load_id for r in loads.join(done, "load_id", "left_anti").collect())
+
+
+def commit_loads(spark: SparkSession, paths: Paths, loads: list[str]) -> None:
+    """Mark loads as carried through; a repeated mark does no harm."""
+    if loads:
+        append_rows(spark.createDataFrame([(x,) for x in loads], COMMITS), paths.commits)
+
+
+def quarantine_new(spark: SparkSession, paths: Paths, rows: DataFrame) -> int:
+    """Append quarantine rows that are not there yet; returns how many."""
+    what = F.xxhash64("source_id", "city_id", "rule_violated", "raw_record", "raw_checksum")
+    known = read_table(spark, paths.quarantine, QUARANTINE).select(what.alias("_what")).distinct()
+    new = rows.withColumn("_what", what).dropDuplicates(["_what"]).join(known, "_what", "left_anti").drop("_what")
+    new = new.checkpoint(eager=True)
+    append_rows(new.withColumn("ym", month_of("quarantined_at")), paths.quarantine, ["ym"])
+    return new.count()
+
+
 def sync_raw(
     spark: SparkSession, raw_dir: str, paths: Paths, run_id: str, as_of: str, state: RunState | None = None
 ) -> dict:
     """R1+R4: append deliveries not yet stored (key source, scope, checksum);
-    log per-(source, scope) outcomes; quarantine unusable files."""
+    log per-(source, scope) outcomes; quarantine unusable files.
+
+    New rows carry this load's id; they count as done only when the marts are
+    (``commit_loads``), so a later run takes up what a failed one left."""
     incoming = scan_envelopes(spark, raw_dir)
     existing = read_table(spark, paths.raw, RAW)
     keys = ["source", "scope_id", "checksum"]
-    new_rows, counts = load_new(incoming, existing.select(*keys), keys, [("ingested_at", True), ("raw_file_path", True)])
-    new_rows = new_rows.checkpoint(eager=True)
-    append_rows(new_rows.withColumn("ym", month_of("ingested_at")), paths.raw, ["source", "ym"])
-
-    created = incoming.join(new_rows.select(*keys, F.lit(True).alias("created")), keys, "left")
+    new_rows, _ = load_new(incoming, existing.select(*keys), keys, [("ingested_at", True), ("raw_file_path", True)])
+    load_id = f"{run_id}-{uuid.uuid4().hex[:8]}"
+    stamped = new_rows.withColumn("load_id", F.lit(load_id)).withColumn("ym", month_of("ingested_at"))
+    append_rows(stamped, paths.raw, ["load_id", "source", "ym"])
+    stored = read_table(spark, paths.raw, RAW)
+    stored = stored.where(F.col("load_id") == load_id) if "load_id" in stored.columns else stored.limit(0)
+
+    # the stored copy of a payload is the one delivery that was loaded; its twins are duplicates
+    winner = [*keys, "raw_file_path"]
+    created = incoming.join(stored.select(*winner, F.lit(True).alias("created")), winner, "left")
     outcomes = delivery_outcomes(created, ["source", "scope_id"], "created")
     now = F.lit(as_of).cast("timestamp_ntz")
     log_rows = outcomes.select(
@@ -125,36 +168,26 @@ def sync_raw(
         F.lit(None).cast("string").alias("raw_checksum"),
         F.lit(None).cast("string").alias("error_message"),
     )
-    append_rows(log_rows.withColumn("ym", month_of("started_at")), paths.log, ["ym"])
-    rejects = envelope_rejects(spark, raw_dir, as_of)
-    append_rows(rejects.withColumn("ym", month_of("quarantined_at")), paths.quarantine, ["ym"])
-    if state is not None:
-        state.new_raw = new_rows
-    row = counts.first()
-    return {"rows_received": row["received"], "rows_loaded": row["inserted"]}
-
-
-def _fact_exists(spark: SparkSession, path: str) -> bool:
     try:
-        spark.read.parquet(path)
-        return True
-    except Exception:  # noqa: BLE001 - absent table
-        return False
+        append_rows(log_rows.withColumn("ym", month_of("started_at")), paths.log, ["ym"])
+    except Exception as exc:  # noqa: BLE001 - a log failure never breaks the run
+        LOG.warning("delivery outcomes not logged: %s", exc)
+    rejects = envelope_rejects(spark, raw_dir, as_of)
+    bad = quarantine_new(spark, paths, rejects)
+    return {"rows_received": incoming.count(), "rows_loaded": stored.count(), "rows_quarantined": bad}
 
 
 def build_facts(spark: SparkSession, paths: Paths, as_of: str, state: RunState | None = None) -> dict:
     """F1-F6. Full mode rebuilds every fact from the whole raw table
-    (idempotent: newest version per key). Incremental mode (``state`` with
-    new raw rows and existing facts) builds fact rows from the new raw rows
+    (idempotent: newest version per key). Incremental mode (``state``, once
+    some load was carried through) builds fact rows from the uncommitted loads
     only and merges them into the partitions they touch
     (``sinks.upsert_partitions``); untouched partitions are not read or
-    rewritten."""
-    incremental = (
-        state is not None
-        and state.new_raw is not None
-        and all(_fact_exists(spark, paths.fact(n)) for n in FACT_SCHEMAS)
-    )
-    raw = state.new_raw if incremental else read_table(spark, paths.raw, RAW)
+    rewritten. A fact without rows is a table like any other."""
+    incremental = state is not None and bool(read_table(spark, paths.commits, COMMITS).limit(1).count())
+    raw = read_table(spark, paths.raw, RAW)
+    if incremental and "load_id" in raw.columns:
+        raw = raw.where(F.col("load_id").isin(pending_loads(spark, paths)))
     touched: dict[str, list[str]] = {}
     for name, df in FB.all_facts(raw).items():
         df = df.withColumn("part", FACT_PARTITION[name]())
@@ -173,19 +206,16 @@ def build_facts(spark: SparkSession, paths: Paths, as_of: str, state: RunState |
             write_table(df, paths.fact(name), ["part"], FACT_KEYS[name])
     if state is not None:
         state.touched = touched if incremental else None
-    rejects = FB.hourly_rejects(raw, "open_meteo_weather", FB.WEATHER_FIELDS).unionByName(
-        FB.hourly_rejects(raw, "open_meteo_air_quality", FB.AIR_QUALITY_FIELDS)
-    )
-    q = rejects.select(
+    q = FB.fact_rejects(raw).select(
         F.lit(as_of).cast("timestamp_ntz").alias("quarantined_at"),
-        F.lit("hourly").alias("source_id"),
+        F.col("source").alias("source_id"),
         F.col("scope_id").alias("city_id"),
         F.col("rule").alias("rule_violated"),
         F.coalesce(F.col("payload"), F.lit("")).alias("raw_record"),
         F.col("checksum").alias("raw_checksum"),
     ).select(*QUARANTINE.fieldNames())
-    append_rows(q.withColumn("ym", month_of("quarantined_at")), paths.quarantine, ["ym"])
-    return {"rows_loaded": sum(len(v) for v in touched.values()) if incremental else len(FACT_SCHEMAS)}
+    bad = quarantine_new(spark, paths, q)
+    return {"rows_loaded": sum(len(v) for v in touched.values()) if incremental else len(FACT_SCHEMAS), "rows_quarantined": bad}
 
 
 def read_fact(spark: SparkSession, paths: Paths, name: str, months: list[str] | None = None) -> DataFrame:
@@ -228,6 +258,19 @@ def _write_mart(df: DataFrame, paths: Paths, name: str) -> None:
     write_table(df.withColumn("ym", month_of("date")), paths.mart(name), ["ym"], MART_KEYS[name])
 
 
+def _with_next_month(spark: SparkSession, paths: Paths, months: list[str]) -> list[str]:
+    """``months`` and, per currency, the month of its next observation after
+    each: a revised last rate changes that observation's previous value. One
+    row per currency and month is looked at."""
+    fact = read_table(spark, paths.fact("fact_fx_daily"), FACT_SCHEMAS["fact_fx_daily"])
+    if "part" not in fact.columns:
+        return months
+    per = fact.select("currency", "part").distinct()
+    after = per.withColumn("after", F.lead("part").over(Window.partitionBy("currency").orderBy("part")))
+    rows = after.where(F.col("part").isin(months) & F.col("after").isNotNull()).select("after").distinct().collect()
+    return sorted({*months, *(r.after for r in rows)})
+
+
 def _union(*groups):
     if any(g is None for g in groups):
         return None
@@ -247,7 +290,7 @@ def build_marts(spark: SparkSession, paths: Paths, as_of: str, state: RunState |
     t = state.touched if state is not None else None
     full = t is None
     m_env = None if full else _union(t["fact_weather_hourly"], t["fact_air_quality_hourly"])
-    m_fx = None if full else t["fact_fx_daily"]
+    m_fx = None if full else _with_next_month(spark, paths, t["fact_fx_daily"])
     infra_changed = full or bool(t["fact_osm_infrastructure"])
     m_mob = None if infra_changed else m_env
     m_ci = None if infra_changed else _union(m_env, m_fx, t["fact_news_intensity"])
@@ -323,13 +366,14 @@ def _log_stage(spark, paths, run_id, stage, started, finished, status, counts, e
     try:
         row = (
             run_id, f"stage:{stage}", None, started, finished, status,
-            int(counts.get("rows_received", 0) or 0), int(counts.get("rows_loaded", 0) or 0), 0, None,
+            int(counts.get("rows_received", 0) or 0), int(counts.get("rows_loaded", 0) or 0),
+            int(counts.get("rows_quarantined", 0) or 0), None,
             (str(error)[:2000] if error else None),
         )
         df = spark.createDataFrame([row], INGESTION_LOG)
         append_rows(df.withColumn("ym", month_of("started_at")), paths.log, ["ym"])
-    except Exception:  # noqa: BLE001 - a log failure never breaks the run
-        pass
+    except Exception as exc:  # noqa: BLE001 - a log failure never breaks the run
+        LOG.warning("run log row of stage %s not written: %s", stage, exc)
 
 
 def refresh(
@@ -346,6 +390,8 @@ def refresh(
     recomputes only the affected mart months (the first run, with no fact
     tables yet, is always a full build).
     """
+    if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "GMT"):
+        raise RuntimeError("day boundaries are defined in UTC: set spark.sql.session.timeZone=UTC")
     ensure_checkpoint_dir(spark)  # lineage is cut in the shared checkpoint folder: fail before any stage
     as_of = as_of or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     run_id = run_id or str(uuid.uuid4())
@@ -355,6 +401,7 @@ def refresh(
         ("raw_sync", lambda: sync_raw(spark, raw_dir, paths, run_id, as_of, state)),
         ("facts", lambda: build_facts(spark, paths, as_of, state)),
         ("marts", lambda: build_marts(spark, paths, as_of, state)),
+        ("commit", lambda: commit_loads(spark, paths, pending_loads(spark, paths)) or {}),
     ]
     # The run's clock is ``as_of``: stage rows are stamped as_of + elapsed,
     # so a backfill for a past day logs (and later reads fresh) consistently.

@@ -73,7 +73,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 # Partition sizing (bytes of compressed input per scan split and per shuffle
 # partition); see ``scale_conf``.
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def scale_conf(
@@ -81,19 +80,24 @@ def scale_conf(
     cores: int | None = None,
     target_partition_bytes: int = TARGET_PARTITION_BYTES,
     expansion: float = 2.0,
+    max_shuffle_partitions: int | None = None,
 ) -> dict:
     """Partition sizing for a run that reads ``input_bytes`` of input.
 
     Scan splits are ``target_partition_bytes``; the initial shuffle partition
     count is what a shuffle of the whole (decompressed, ``expansion`` x) input
     needs to stay near the target per partition, rounded up to a multiple of
-    ``cores`` (whole waves) and capped to keep the map x reduce block count
-    manageable. AQE then coalesces small shuffles to the same target and splits
+    ``cores`` (whole waves). ``max_shuffle_partitions`` bounds it where the
+    cluster cannot hold that many map x reduce blocks; the target per partition
+    then grows so that the sizes still agree. AQE then coalesces small shuffles to the same target and splits
     partitions above twice the target in skewed joins, so one hot key does not
     become one oversized task.
     """
     wanted = math.ceil(input_bytes * expansion / target_partition_bytes)
-    parts = max(200, min(MAX_SHUFFLE_PARTITIONS, wanted))
+    if max_shuffle_partitions and wanted > max_shuffle_partitions:
+        target_partition_bytes = math.ceil(input_bytes * expansion / max_shuffle_partitions)
+        wanted = max_shuffle_partitions
+    parts = max(200, wanted)
     if cores:
         parts = math.ceil(parts / cores) * cores
     return {

@@ -46,27 +46,13 @@ TABLE_SCHEMAS = {
 }
 
 
-def load(spark: SparkSession, folder: str, name: str, spread: bool = False) -> DataFrame:
+def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """``<folder>/<name>.parquet`` as a DataFrame (lazy; columns pruned on use).
 
-    ``spread=True`` is for queries with heavy per-row work (JSON building or
-    parsing) before their first shuffle: a file with a single row group is
-    read by one task, so such a scan is spread round-robin over the default
-    parallelism when it has fewer splits than that. A large input already
-    has many splits and is returned untouched (no extra shuffle).
-
     The known tables are read with their declared schema (no inference
     job); any other name falls back to the files' own schema.
     """
     reader = spark.read
     if name in TABLE_SCHEMAS:
         reader = reader.schema(TABLE_SCHEMAS[name])
-    df = reader.parquet(f"{folder.rstrip('/')}/{name}.parquet")
-    if not spread:
-        return df
-    try:
-        want = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD API (e.g. a remote session): leave the scan as is
-        return df
-    return df.repartition(want) if want > 1 and splits < want else df
+    return reader.parquet(f"{folder.rstrip('/')}/{name}.parquet")

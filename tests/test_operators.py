@@ -189,3 +189,24 @@ def test_standings_latest_date_only(spark):
     )
     got = [(r.rank, r.city) for r in standings(df, "date", "score", "city").orderBy("rank").collect()]
     assert got == [(1, "b"), (2, "a")]
+
+
+def test_dedupe_first_puts_nulls_last_either_way(spark):
+    from citymarts.operators.latest import dedupe_first
+
+    rows = [("a", None, "x"), ("a", 30.0, "y"), ("a", 10.0, "z"), ("b", None, "w")]
+    df = spark.createDataFrame(rows, "k string, v double, t string")
+    down = {r.k: r.v for r in dedupe_first(df, "k", [("v", False)]).collect()}
+    up = {r.k: r.v for r in dedupe_first(df, "k", [("v", True)]).collect()}
+    assert down == {"a": 30.0, "b": None} and up == {"a": 10.0, "b": None}
+    assert {r.k: r.t for r in dedupe_first(df, "k", [("t", False)]).collect()} == {"a": "z", "b": "w"}
+    big = spark.createDataFrame([("a", -(2**63), 1), ("a", 5, 2)], "k string, v long, n int")
+    assert dedupe_first(big, "k", [("v", False), ("n", True)]).first().v == 5
+
+
+def test_kpi_audit_reports_infinity(spark):
+    from citymarts.operators.quality import kpi_missing
+
+    df = spark.createDataFrame([(1, float("inf")), (2, float("-inf")), (3, float("nan")), (4, 1.0), (5, None)], "id int, v double")
+    got = {r.id: r.problem for r in kpi_missing(df, ["id"], ["v"]).collect()}
+    assert got == {1: "placeholder", 2: "placeholder", 3: "placeholder", 5: "empty"}

@@ -3,7 +3,6 @@
 import pytest
 
 from citymarts.session import (
-    MAX_SHUFFLE_PARTITIONS,
     TARGET_PARTITION_BYTES,
     apply_scale_conf,
     ensure_checkpoint_dir,
@@ -14,13 +13,16 @@ from citymarts.session import (
 TB = 1024**4
 
 
-def test_scale_conf_grows_with_input_and_is_capped():
+def test_scale_conf_grows_with_input():
     small = scale_conf(10 * 1024**2, cores=8)
     assert small["spark.sql.shuffle.partitions"] == "200"
     mid = int(scale_conf(TB, cores=8)["spark.sql.shuffle.partitions"])
     assert mid == 8192 and mid % 8 == 0  # 1 TB x 2 / 256 MB
     huge = int(scale_conf(100 * TB, cores=8000)["spark.sql.shuffle.partitions"])
-    assert MAX_SHUFFLE_PARTITIONS <= huge < MAX_SHUFFLE_PARTITIONS + 8000 and huge % 8000 == 0
+    assert huge >= 100 * TB * 2 // TARGET_PARTITION_BYTES and huge % 8000 == 0
+    bound = scale_conf(100 * TB, max_shuffle_partitions=100_000)
+    assert bound["spark.sql.shuffle.partitions"] == "100000"
+    assert int(bound["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) * 100_000 >= 200 * TB
     conf = scale_conf(TB)
     assert conf["spark.sql.files.maxPartitionBytes"] == str(TARGET_PARTITION_BYTES)
     skew = int(conf["spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"])
