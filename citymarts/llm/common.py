@@ -15,9 +15,17 @@ from citymarts.session import ensure_checkpoint_dir
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+#: Bytes of one Arrow batch on its way to a Python worker: long texts come few at a time.
+BATCH_BYTES = "8m"
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def prepare(spark: SparkSession) -> None:
     """Let Python workers import this package (same path on every node, or a
-    ``--py-files`` archive, which wins)."""
+    ``--py-files`` archive, which wins), and bound Arrow batches by bytes
+    unless the deployment does so itself."""
+    if not spark.sparkContext.getConf().contains(_BATCH):
+        spark.conf.set(_BATCH, BATCH_BYTES)
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:

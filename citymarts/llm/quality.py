@@ -227,12 +227,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def score(docs: DataFrame, vectors: np.ndarray, network: Network | None, keep: list[str], text_col: str = "text") -> DataFrame:
     """``keep`` columns and ``score`` (0 to 1; empty and NULL texts too) per row, from the text alone."""
 
+    at = keep.index(text_col) if text_col in keep else len(keep)
+
     def run(batches):
         for b in batches:
-            for i, j, found in chunks(b.column(len(keep))):
+            for i, j, found in chunks(b.column(at)):
                 s = network.score(pooled(found, j - i, vectors)) if network else np.full(j - i, 0.5)
                 yield pa.RecordBatch.from_arrays([b.column(k).slice(i, j - i) for k in range(len(keep))] + [pa.array(s)], names=[*keep, "score"])
 
     prepare(docs.sparkSession)
     schema = docs.select(*keep).schema.add("score", "double")
-    return docs.select(*keep, F.col(text_col).cast("string").alias("_scored")).mapInArrow(run, schema)
+    text = [] if text_col in keep else [F.col(text_col).cast("string").alias("_scored")]
+    return docs.select(*keep, *text).mapInArrow(run, schema)

@@ -18,7 +18,7 @@ _SOLID = "!-~¡-ᙿぁ-ヿ一-鿿가-힣"
 _UNSAFE = re.compile(f"[^{_SOLID}] ")
 _CUT = re.compile(f"(?<=[{_SOLID}])(?= )")
 #: Chunks kept per worker and generation.
-CACHE_CHUNKS = 200_000
+CACHE_CHUNKS = 150_000
 
 
 def _visible() -> dict[int, str]:
