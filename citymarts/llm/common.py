@@ -20,6 +20,10 @@ BATCH_BYTES = "8m"
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
+#: Python workers live as long as their executor: what a task frees goes back to the system.
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_TRIM_THRESHOLD_": "131072", "MALLOC_ARENA_MAX": "2"}
+
+
 def prepare(spark: SparkSession) -> None:
     """Let Python workers import this package (same path on every node, or a
     ``--py-files`` archive, which wins), and bound Arrow batches by bytes
@@ -27,6 +31,8 @@ def prepare(spark: SparkSession) -> None:
     if not spark.sparkContext.getConf().contains(_BATCH):
         spark.conf.set(_BATCH, BATCH_BYTES)
     env = spark.sparkContext.environment
+    for name, value in WORKER_MEMORY.items():
+        env.setdefault(name, value)
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])

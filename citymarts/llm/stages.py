@@ -7,12 +7,11 @@ columns of ``documents`` (extra columns pass through).
 from __future__ import annotations
 
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citymarts.llm import language_id, packing, quality, simhash_dedup, suffix_dedup
-from citymarts.llm.common import byte_column, prepare, row_key, table
+from citymarts.llm.common import prepare, row_key, table
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,16 +46,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated byte strings; a character that lost a byte goes, ``n_chars`` is counted anew."""
     rest = [c for c in docs.columns if c not in ("text", "n_chars")]
-    kept = suffix_dedup.remove_repeats(docs, rest)
-
-    def decode(batches):
-        for b in batches:
-            raw, off = byte_column(b.column(len(rest)))
-            out = [raw[s:e].tobytes().decode("utf-8", "ignore") for s, e in zip(off[:-1].tolist(), off[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(rest))), pa.array(out, pa.string())], names=[*rest, "text"])
-
-    schema = kept.select(*rest).schema.add("text", "string")
-    texts = kept.select(*rest, "kept").mapInArrow(decode, schema)
+    texts = suffix_dedup.remove_repeats(docs, rest, as_text=True).withColumnRenamed("kept", "text")
     if "n_chars" in docs.columns:
         texts = texts.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return texts.select(*docs.columns)

@@ -279,9 +279,9 @@ def bucket_count(df: DataFrame, per_bucket: int = 32 << 20) -> int:
     return least if size >= 1 << 60 else max(least, -(-size // per_bucket))
 
 
-def remove_repeats(df: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(df: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str = "text", as_text: bool = False) -> DataFrame:
     """``keep`` columns of every row with ``kept`` (binary, what is left of the
-    text), ``n_bytes``, ``n_removed`` and ``n_spans`` (maximal removed runs).
+    text; ``as_text``: a string without characters that lost a byte), ``n_bytes``, ``n_removed`` and ``n_spans`` (maximal removed runs).
 
     Texts count as UTF-8 bytes, NULL as empty; matches never cross documents;
     strings are judged on the input. Rows of one id are separate documents in
@@ -333,6 +333,8 @@ def remove_repeats(df: DataFrame, keep: list[str], id_col: str = "doc_id", text_
             gone = np.cumsum(change[:-1], dtype=np.int8).astype(bool)
             left = np.concatenate(([0], np.cumsum(~gone)))[off]
             kept = pa.Array.from_buffers(pa.large_binary(), len(b), [None, pa.py_buffer(left.astype(np.int64)), pa.py_buffer(raw[~gone])]).cast(pa.binary())
+            if as_text:
+                kept = pa.array([x.decode("utf-8", "ignore") for x in kept.to_pylist()], pa.string())
             n = np.diff(off)
             yield pa.RecordBatch.from_arrays(
                 [b.column(2 + i) for i in range(len(names))]
@@ -340,6 +342,6 @@ def remove_repeats(df: DataFrame, keep: list[str], id_col: str = "doc_id", text_
                 names=[*names, "kept", "n_bytes", "n_removed", "n_spans"],
             )
 
-    schema = kept_type.add("kept", "binary").add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
+    schema = kept_type.add("kept", "string" if as_text else "binary").add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
     out = joined.mapInArrow(cut, schema)
     return out.select(*(F.col(n).alias(c) for c, n in zip(keep, names)), "kept", "n_bytes", "n_removed", "n_spans")
