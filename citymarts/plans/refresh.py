@@ -397,11 +397,16 @@ def refresh(
     run_id = run_id or str(uuid.uuid4())
     paths = Paths(out_dir)
     state = RunState() if incremental else None
+
+    def marts() -> dict:
+        counts = build_marts(spark, paths, as_of, state)
+        commit_loads(spark, paths, pending_loads(spark, paths))
+        return counts
+
     stages = [
         ("raw_sync", lambda: sync_raw(spark, raw_dir, paths, run_id, as_of, state)),
         ("facts", lambda: build_facts(spark, paths, as_of, state)),
-        ("marts", lambda: build_marts(spark, paths, as_of, state)),
-        ("commit", lambda: commit_loads(spark, paths, pending_loads(spark, paths)) or {}),
+        ("marts", marts),
     ]
     # The run's clock is ``as_of``: stage rows are stamped as_of + elapsed,
     # so a backfill for a past day logs (and later reads fresh) consistently.
