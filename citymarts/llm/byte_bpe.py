@@ -21,30 +21,38 @@ from pyspark.sql import functions as F
 from citymarts.llm.common import byte_column, texts
 from citymarts.llm.tokens import CACHE_CHUNKS, Recent, space_chunks
 
-_NONE = 1 << 62
+#: Above every rank: no such pair.
+_NONE = 1 << 32
+#: Pieces kept per worker and generation.
+CACHE_PIECES = 2 * CACHE_CHUNKS
 
 
-def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one piece: the leftmost pair of least rank merges until none is left."""
+def pair_ranks(ranks: dict[bytes, int]) -> list[int]:
+    """The rank of every pair of single bytes, at ``first << 8 | second``."""
+    return [ranks.get(i.to_bytes(2, "big"), _NONE) for i in range(1 << 16)]
+
+
+def merge_piece(piece: bytes, ranks: dict[bytes, int], pairs: list[int] | None = None) -> list[int]:
+    """Ids of one piece: the leftmost pair of least rank merges until none is
+    left. ``pairs``: ``pair_ranks(ranks)``, made once for many pieces."""
+    if pairs is None:
+        pairs = pair_ranks(ranks)
     rank = ranks.get
     whole = rank(piece)
     if whole is not None:
         return [whole]
     n = len(piece)
     shift = (n - 1).bit_length()
-    size, mask = 1 << shift, (1 << shift) - 1
+    size, mask, none = 1 << shift, (1 << shift) - 1, _NONE << shift
     # heap-ordered segment tree: leaf size + i holds (rank of the pair at i, i)
-    tree = [_NONE] * (2 * size)
-    for i in range(n - 1):
-        r = rank(piece[i : i + 2])
-        if r is not None:
-            tree[size + i] = r << shift | i
+    leaves = [pairs[a << 8 | b] << shift | i for i, (a, b) in enumerate(zip(piece, piece[1:]))]
+    tree = [none] * size + leaves + [none] * (size - n + 1)
     for i in range(size - 1, 0, -1):
         a, b = tree[2 * i], tree[2 * i + 1]
         tree[i] = a if a < b else b
     following = list(range(1, n + 1))
     before = list(range(-1, n - 1))
-    while tree[1] != _NONE:
+    while tree[1] < none:
         i = tree[1] & mask
         j = following[i]
         k = following[j]
@@ -55,13 +63,13 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         if k < n:
             before[k] = i
             r = rank(piece[i : following[k]])
-        tree[size + i] = _NONE if r is None else r << shift | i
-        tree[size + j] = _NONE
+        tree[size + i] = none if r is None else r << shift | i
+        tree[size + j] = none
         y, z = (size + i) >> 1, (size + j) >> 1
         x = y
         if p >= 0:
             r = rank(piece[p:k])
-            tree[size + p] = _NONE if r is None else r << shift | p
+            tree[size + p] = none if r is None else r << shift | p
             x = (size + p) >> 1
         while x:
             a, b = tree[2 * x], tree[2 * x + 1]
@@ -81,6 +89,24 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+class Filled(Recent):
+    """A bounded memo that makes what it lacks."""
+
+    def __init__(self, limit: int, make):
+        super().__init__(limit)
+        self.make = make
+
+    def __missing__(self, key):
+        got = self.old.get(key)
+        if got is None:
+            got = self.make(key)
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = got
+        return got
+
+
 class ByteBpe:
     """Encoder and decoder of one rank file and split pattern."""
 
@@ -91,18 +117,14 @@ class ByteBpe:
         for token, i in self.ranks.items():
             self.vocab[i] = token
         self.split = regex.compile(pattern).findall
-        self.chunks, self.pieces = Recent(), Recent(CACHE_CHUNKS // 2)
+        self.pairs = pair_ranks(self.ranks)
+        self.chunks, self.pieces = Recent(), Filled(CACHE_PIECES, self._piece)
+
+    def _piece(self, piece: str) -> bytes:
+        return array("i", merge_piece(piece.encode(), self.ranks, self.pairs)).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        out = []
-        for piece in self.split(chunk):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                if self.pieces.ask({piece}):
-                    self.pieces[piece] = array("i", merge_piece(piece.encode(), self.ranks)).tobytes()
-                ids = self.pieces[piece]
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self.pieces.__getitem__, self.split(chunk)))
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian 32-bit integers."""
