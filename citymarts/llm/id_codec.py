@@ -25,7 +25,7 @@ import numpy as np
 MAGIC = b"IDB1"
 LANES = 8192
 #: Ids in a lane at least, where the block has enough.
-LANE_IDS = 256
+LANE_IDS = 128
 MAX_ID = 65535
 
 _MIX_BITS, _FREQ_BITS = 12, 17
@@ -110,12 +110,13 @@ def encode_block(ids: np.ndarray, lengths: np.ndarray, keys: np.ndarray) -> byte
     if n and (ids.max() > MAX_ID or ids.min() < 0):
         raise ValueError(f"ids must lie in 0..{MAX_ID}")
     used = np.bincount(ids, minlength=1) > 0
-    alphabet, dense = np.flatnonzero(used), (np.cumsum(used) - 1)[ids]
+    alphabet, dense = np.flatnonzero(used), (np.cumsum(used) - 1).astype(np.uint32)
     lanes = max(1, min(LANES, n // LANE_IDS))
     steps = -(-n // lanes)
     grid = np.zeros(lanes * steps, np.uint32)
-    grid[:n] = dense.astype(np.uint32)
+    grid[:n] = dense[ids]
     columns = np.ascontiguousarray(grid.reshape(lanes, steps).T)
+    del grid
     out_lane, out_word = [], []
     if n:
         model = Model(len(alphabet), lanes)

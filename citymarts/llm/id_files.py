@@ -22,7 +22,7 @@ from citymarts.llm.id_codec import decode_block, encode_block
 from citymarts.llm.tokens import tokenizer
 
 #: Ids of a block, reached with whole documents (a longer document is a block of its own).
-BLOCK_IDS = 1 << 21
+BLOCK_IDS = 1 << 20
 END_ID = 0
 #: Stands for a NULL key in a block.
 NO_KEY = -(1 << 63)
@@ -48,8 +48,11 @@ def write_ids(
 
         def flush():
             lengths = np.array([len(x) // 4 for x in ids], np.int64)
-            data = encode_block(np.frombuffer(b"".join(ids), "<u4"), lengths, np.array(keys, np.int64))
-            row = [[part], [block], [len(keys)], [int(lengths.sum())], [data]]
+            joined, docs = b"".join(ids), np.array(keys, np.int64)
+            keys.clear()
+            ids.clear()
+            data = encode_block(np.frombuffer(joined, "<u4"), lengths, docs)
+            row = [[part], [block], [len(docs)], [int(lengths.sum())], [data]]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds)], names=["part", "block", "n_docs", "n_ids", "data"])
 
@@ -62,8 +65,6 @@ def write_ids(
                 if held >= block_ids:
                     yield flush()
                     block, held = block + 1, 0
-                    keys.clear()
-                    ids.clear()
         if keys:
             yield flush()
 

@@ -99,7 +99,8 @@ class ChunkTokenizer:
         self.cache = Recent()
 
     def _word(self, word: str) -> bytes:
-        got = self.merge(self.lead_byte + word.encode().decode("latin-1").translate(_VISIBLE))
+        shown = word if word.isascii() else word.encode().decode("latin-1").translate(_VISIBLE)
+        got = self.merge(self.lead_byte + shown)
         return array("I", [t.id for t in got]).tobytes()
 
     def _each(self, chunks: list[str]) -> list[bytes]:
