@@ -23,6 +23,8 @@ from citymarts.llm.tokens import tokenizer
 
 #: Ids of a block, reached with whole documents (a longer document is a block of its own).
 BLOCK_IDS = 1 << 20
+#: Bytes of text tokenized at a time.
+TEXT_BYTES = 8_000_000
 END_ID = 0
 #: Stands for a NULL key in a block.
 NO_KEY = -(1 << 63)
@@ -57,7 +59,7 @@ def write_ids(
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds)], names=["part", "block", "n_docs", "n_ids", "data"])
 
         for b in batches:
-            for at, some in texts(b.column(1)):
+            for at, some in texts(b.column(1), TEXT_BYTES):
                 keys += b.column(0).slice(at, len(some)).fill_null(NO_KEY).to_pylist()
                 got = [x + end for x in tok.encode(some)]
                 ids += got
