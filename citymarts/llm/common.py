@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 
@@ -24,6 +25,32 @@ _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_TRIM_THRESHOLD_": "131072", "MALLOC_ARENA_MAX": "2"}
 
 
+#: What short-lived arrays up to 1 MB may keep of a worker's heap, else each costs its page faults.
+HEAP_KEPT, HEAP_ARRAYS = 16 << 20, 1 << 20
+
+
+def roomy_heap(run):
+    """``run`` (a map over Arrow batches) with a heap that keeps ``HEAP_KEPT``
+    bytes for arrays up to ``HEAP_ARRAYS`` while it lasts; without glibc nothing changes."""
+
+    def wrapped(batches):
+        libc = ctypes.CDLL(None)
+        if not (hasattr(libc, "mallopt") and hasattr(libc, "malloc_trim")):
+            yield from run(batches)
+            return
+        trim, mmap = -1, -3  # M_TRIM_THRESHOLD, M_MMAP_THRESHOLD
+        libc.mallopt(trim, HEAP_KEPT)
+        libc.mallopt(mmap, HEAP_ARRAYS)
+        try:
+            yield from run(batches)
+        finally:
+            libc.mallopt(trim, int(WORKER_MEMORY["MALLOC_TRIM_THRESHOLD_"]))
+            libc.mallopt(mmap, 128 << 10)
+            libc.malloc_trim(0)
+
+    return wrapped
+
+
 def prepare(spark: SparkSession) -> None:
     """Let Python workers import this package (same path on every node, or a
     ``--py-files`` archive, which wins), and bound Arrow batches by bytes

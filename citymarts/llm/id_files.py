@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from citymarts.llm.common import row_key, texts
+from citymarts.llm.common import roomy_heap, row_key, texts
 from citymarts.llm.id_codec import decode_block, encode_block
 from citymarts.llm.tokens import tokenizer
 
@@ -72,7 +72,7 @@ def write_ids(
 
     docs = df.select(F.col(id_col).cast("long").alias("_key"), F.col(text_col).cast("string").alias("_text"))
     docs = row_key(docs, "_key", "_text").repartitionByRange("_rid").sortWithinPartitions("_rid")
-    docs.select("_key", "_text").mapInArrow(run, FORMAT).write.parquet(folder)
+    docs.select("_key", "_text").mapInArrow(roomy_heap(run), FORMAT).write.parquet(folder)
 
 
 def read_ids(spark: SparkSession, folder: str, id_col: str = "doc_id") -> DataFrame:
@@ -101,4 +101,4 @@ def read_ids(spark: SparkSession, folder: str, id_col: str = "doc_id") -> DataFr
                         [pa.array(keys[k], mask=keys[k] == NO_KEY), pa.array(starts[k] + (base[p] + s)), pa.array(own, pa.binary())], names=[id_col, "start", "ids"]
                     )
 
-    return blocks.join(shift, ["part", "block"]).select("part", "before", "data").mapInArrow(run, f"`{id_col}` long, start long, ids binary")
+    return blocks.join(shift, ["part", "block"]).select("part", "before", "data").mapInArrow(roomy_heap(run), f"`{id_col}` long, start long, ids binary")
