@@ -7,7 +7,9 @@ ranked by the exact inner product. Every row is indexed in every table.
 
 Inner product search is made a search of nearest directions: rows are scaled
 by the largest norm and get one more coordinate that fills them up to length
-one, queries get a zero there.
+one, queries get a zero there. For that coordinate not to drown the direction
+of short rows, rows are split into norm bands with a scale, index and probes
+of their own; a band of few rows is ranked whole.
 """
 
 from __future__ import annotations
@@ -27,6 +29,11 @@ TABLES = 8
 PROBES = 36
 #: Rows of a cell that one task ranks at once; larger cells are cut into parts.
 PART = 4096
+#: Norms of one band differ by this factor at most; they are counted on a grid of so many steps per doubling.
+BAND_RATIO = 2.0
+GRID = 16
+#: Bands of up to so many rows are ranked whole, without an index.
+WHOLE_BAND = 1024
 #: Scores within this of the k-th may be its equals: they are compared exactly.
 MARGIN = 1e-9
 
@@ -96,6 +103,24 @@ def _rank(row_ids, rows, query_ids, queries, k):
     return [np.concatenate(x) for x in zip(*out)]
 
 
+def log_norms(x: np.ndarray) -> np.ndarray:
+    """Binary logarithm of every row's norm, without overflow."""
+    top = np.abs(x).max(axis=1)
+    return np.log2(top) + 0.5 * np.log2(((x / top[:, None]) ** 2).sum(axis=1))
+
+
+def norm_bands(grid: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Upper ends (binary logarithms, falling) and row counts of the norm bands
+    of ``grid``, which has the number of rows with a norm in each grid step."""
+    wide, tops, counts = round(GRID * np.log2(BAND_RATIO)), [], []
+    for step in sorted(grid, reverse=True):
+        if not tops or tops[-1] - step >= wide:
+            tops.append(step)
+            counts.append(0)
+        counts[-1] += grid[step]
+    return (np.array(tops) + 1) / GRID, np.array(counts)
+
+
 def nearest_vectors(
     df: DataFrame, queries: Callable[[Column], Column], k: int, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, probes: int = PROBES
 ) -> DataFrame:
@@ -109,30 +134,45 @@ def nearest_vectors(
     """
     prepare(df.sparkSession)
     rows = keyed(df, id_col, vector_col).where("_v is not null")
-    norm = F.sqrt(F.aggregate("_v", F.lit(0.0), lambda s, x: s + x * x))
+    top = F.array_max(F.transform("_v", F.abs))
+    norm = F.log2(top) + 0.5 * F.log2(F.aggregate(F.transform("_v", lambda x: x / top), F.lit(0.0), lambda s, x: s + x * x))
     flagged = rows.withColumn("_q", F.coalesce(queries(F.col("_id")), F.lit(False)))
-    # one number per vector length reaches the driver
-    most = {r.d: r.m for r in rows.groupBy(F.size("_v").alias("d")).agg(F.max(norm).alias("m")).collect()}
+    # counts of the occupied steps of a norm grid reach the driver, for each vector length
+    grid: dict[int, dict[int, int]] = {}
+    for r in rows.groupBy(F.size("_v").alias("d"), F.floor(norm * GRID).alias("step")).agg(F.count("*").alias("n")).collect():
+        grid.setdefault(r.d, {})[r.step] = r.n
+    bands = {d: norm_bands(steps) for d, steps in grid.items()}
 
     def hashes(d):
         return CrossPolytope(d + 1, tables, seed=17 + d)
 
     def index(batches):
-        made = {d: hashes(d) for d in most}
+        made = {d: hashes(d) for d in bands}
         for b in batches:
             for at, x in by_length(b.column(1)):
                 d = x.shape[1]
-                for i in range(0, len(x), 2000):
-                    part, take = x[i : i + 2000] / most[d], pa.array(at[i : i + 2000])
-                    fill = np.sqrt(np.maximum(0, 1 - (part * part).sum(axis=1)))
-                    cells = made[d].cells(np.hstack([part, fill[:, None]]))
-                    yield pa.RecordBatch.from_arrays(
-                        [b.column(0).take(take), lists(x[i : i + 2000]), pa.array(np.full(len(part), d, np.int32)), lists(cells)], names=["rid", "v", "d", "cells"]
-                    )
-
-    indexed = save(rows.select("_rid", "_v").mapInArrow(index, "rid long, v array<double>, d int, cells array<long>"), "ann-index")
-    spots = indexed.select("rid", "v", "d", F.posexplode("cells").alias("t", "cell"))
-    # at most tables x cells counts reach the driver
+                ends, sizes = bands[d]
+                long = log_norms(x)
+                band = (np.searchsorted(-ends, -long, side="right") - 1).clip(0)
+                for own in np.unique(band):
+                    some = np.flatnonzero(band == own)
+                    for i in range(0, len(some), 2000):
+                        row = some[i : i + 2000]
+                        part, take = x[row], pa.array(at[row])
+                        if sizes[own] <= WHOLE_BAND:
+                            cells = np.zeros((len(part), 1), np.int64)
+                        else:
+                            top = np.abs(part).max(axis=1)
+                            unit = part / top[:, None] * np.exp2(np.log2(top) - ends[own])[:, None]
+                            fill = np.sqrt(np.maximum(0, 1 - (unit * unit).sum(axis=1)))
+                            cells = made[d].cells(np.hstack([unit, fill[:, None]]))
+                        of = [pa.array(np.full(len(part), z, np.int32)) for z in (d, own)]
+                        yield pa.RecordBatch.from_arrays([b.column(0).take(take), lists(part), *of, lists(cells)], names=["rid", "v", "d", "band", "cells"])
+
+    indexed = save(rows.select("_rid", "_v").mapInArrow(index, "rid long, v array<double>, d int, band int, cells array<long>"), "ann-index")
+    # the tables of all bands are numbered through
+    spots = indexed.select("rid", "v", "d", "band", F.posexplode("cells").alias("t", "cell")).withColumn("t", F.col("band") * tables + F.col("t"))
+    # at most bands x tables x cells counts reach the driver
     parts = {(r.d, r.t, r.cell): -(-r.n // PART) for r in spots.groupBy("d", "t", "cell").agg(F.count("*").alias("n")).collect()}
 
     def place(batches):
@@ -143,20 +183,25 @@ def nearest_vectors(
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(part), kind, b.column(3), b.column(4)], names=names)
 
     def probe(batches):
-        made = {d: hashes(d) for d in most}
+        made = {d: hashes(d) for d in bands}
         for b in batches:
             for at, x in by_length(b.column(1)):
                 d = x.shape[1]
+                whole = [band * tables for band, n in enumerate(bands[d][1]) if n <= WHOLE_BAND]
+                cut = [band * tables for band, n in enumerate(bands[d][1]) if n > WHOLE_BAND]
                 for i in range(0, len(x), 64):
                     q, own = x[i : i + 64], b.column(0).take(pa.array(at[i : i + 64])).to_numpy()
-                    unit = np.hstack([q / np.linalg.norm(q, axis=1, keepdims=True), np.zeros((len(q), 1))])
+                    unit = q / np.abs(q).max(axis=1, keepdims=True)
+                    unit = np.hstack([unit / np.linalg.norm(unit, axis=1, keepdims=True), np.zeros((len(q), 1))])
                     look = [
-                        (r, t, c, p)
-                        for r, per in enumerate(made[d].probes(unit, probes).tolist())
+                        (r, first + t, c, p)
+                        for r, per in enumerate(made[d].probes(unit, probes).tolist() if cut else [])
                         for t, cells in enumerate(per)
                         for c in cells
-                        for p in range(parts.get((d, t, c), 0))
+                        for first in cut
+                        for p in range(parts.get((d, first + t, c), 0))
                     ]
+                    look += [(r, first, 0, p) for r in range(len(q)) for first in whole for p in range(parts.get((d, first, 0), 0))]
                     if look:
                         r, t, c, p = (np.array(z) for z in zip(*look))
                         cols = [np.full(len(r), d, np.int32), t.astype(np.int32), c, p.astype(np.int32), np.ones(len(r), np.int32), own[r]]

@@ -326,6 +326,27 @@ def test_cross_polytope_recall_and_scores(spark, vectors):
     assert not cross_polytope.nearest_vectors(vectors.limit(0), lambda i: i == 0, 5).count()
 
 
+@pytest.mark.parametrize("norms", ["outlier", "lognormal"])
+def test_cross_polytope_recall_under_skewed_norms(spark, monkeypatch, norms):
+    prepare(spark)
+    monkeypatch.setattr(cross_polytope, "WHOLE_BAND", 64, raising=False)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if norms == "outlier":
+        x[7] *= 100
+    else:
+        x *= rng.lognormal(0, 1, (3000, 1))
+    df = spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in cross_polytope.nearest_vectors(df, lambda i: i % 30 == 0, 20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    score = x @ x.T
+    np.fill_diagonal(score, -np.inf)
+    hits = [len(got.get(q, set()) & set(np.argsort(-score[q])[:20].tolist())) for q in range(0, 3000, 30)]
+    assert sum(hits) / (100 * 20) >= 0.9
+
+
 def test_quality_learns_and_ignores_held_out(spark):
     prepare(spark)
     docs = [(i, prose(60, i).upper().replace(" ", "!! ") if i % 2 else prose(60, i)) for i in range(300)] + [(900, None), (901, "")]
