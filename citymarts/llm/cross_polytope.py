@@ -3,7 +3,8 @@
 A table turns a unit vector by three rounds of random signs and a Hadamard
 transform and assigns it to the nearest signed axis. A query looks into the
 cells of its largest signed coordinates in every table; what it finds there is
-ranked by the exact inner product. Every row is indexed in every table.
+ranked by the exact inner product. Every row is indexed in every table. A query
+that meets too few rows is ranked against all rows.
 
 Inner product search is made a search of nearest directions: rows are scaled
 by the largest norm and get one more coordinate that fills them up to length
@@ -126,7 +127,8 @@ def nearest_vectors(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` rows of largest inner
     product found for each row whose id ``queries`` (a condition on the id) selects, ties to
-    the smaller id; all candidates if fewer.
+    the smaller id; all candidates if fewer. Queries whose probes meet fewer than
+    ``k`` rows (and fewer than there are) are ranked against all rows of their length.
 
     NULL, empty and zero vectors and such with NULL or non-finite components
     take no part; only vectors of one length are compared. Rows of one id are
@@ -141,6 +143,7 @@ def nearest_vectors(
     grid: dict[int, dict[int, int]] = {}
     for r in rows.groupBy(F.size("_v").alias("d"), F.floor(norm * GRID).alias("step")).agg(F.count("*").alias("n")).collect():
         grid.setdefault(r.d, {})[r.step] = r.n
+    total = {d: sum(steps.values()) for d, steps in grid.items()}
     bands = {d: norm_bands(steps) for d, steps in grid.items()}
 
     def hashes(d):
@@ -209,10 +212,8 @@ def nearest_vectors(
 
     names = ["d", "t", "cell", "part", "kind", "rid", "v"]
     layout = "d int, t int, cell long, part int, kind int, rid long, v array<double>"
-    asked = flagged.where("_q").select("_rid", "_v").mapInArrow(probe, layout)
+    asked = flagged.where("_q").select("_rid", "_v")
     group = ["d", "t", "cell", "part"]
-    meet = spots.select("d", "t", "cell", "rid", "v").mapInArrow(place, layout).unionByName(asked)
-    meet = meet.repartition(*group).sortWithinPartitions(*group, "kind")
 
     def rank(batches):
         key, held, rows_now = None, [], None
@@ -242,10 +243,37 @@ def nearest_vectors(
                 q, r, score = _rank(*rows_now, ids, x, k)
                 yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(r), pa.array(score)], names=["query", "rid", "score"])
 
-    found = meet.mapInArrow(rank, "query long, rid long, score double")
-    once = found.groupBy("query", "rid").agg(F.max("score").alias("score"))
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "rid")
-    top = once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    def top(placed, probing):
+        meet = placed.unionByName(probing).repartition(*group).sortWithinPartitions(*group, "kind")
+        found = meet.mapInArrow(rank, "query long, rid long, score double")
+        once = found.groupBy("query", "rid").agg(F.max("score").alias("score"))
+        best = Window.partitionBy("query").orderBy(F.desc("score"), "rid")
+        return once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+    def everything(batches):
+        """Queries to all parts of all rows of their length."""
+        for b in batches:
+            for at, x in by_length(b.column(1)):
+                d = x.shape[1]
+                count = -(-total[d] // PART)
+                for i in range(0, len(x), 64):
+                    q, own = x[i : i + 64], b.column(0).take(pa.array(at[i : i + 64])).to_numpy()
+                    for p in range(count):
+                        cols = [np.full(len(q), z, y) for z, y in ((d, np.int32), (0, np.int32), (0, np.int64), (p, np.int32), (1, np.int32))]
+                        yield pa.RecordBatch.from_arrays([*(pa.array(z) for z in cols), pa.array(own), lists(q)], names=names)
+
+    met = save(top(spots.select("d", "t", "cell", "rid", "v").mapInArrow(place, layout), asked.mapInArrow(probe, layout)), "ann-met")
+    sizes = F.create_map(*(F.lit(z) for d, n in total.items() for z in (d, n))) if total else F.lit(None).cast("map<int,int>")
+    wants = asked.withColumn("_need", F.least(F.lit(k), sizes[F.size("_v")] - 1))
+    counted = met.groupBy("query").agg(F.count("*").alias("_n"))
+    short = wants.join(counted, F.col("_rid") == F.col("query"), "left").where(F.coalesce("_n", F.lit(0)) < F.col("_need"))
+    short = save(short.select("_rid", "_v"), "ann-short")
+    if short.limit(1).count():
+        parted = F.pmod(F.xxhash64("rid"), F.element_at(F.create_map(*(F.lit(z) for d, n in total.items() for z in (d, -(-n // PART)))), F.col("d"))).cast("int")
+        zero = F.lit(0)
+        rest = indexed.select("d", zero.alias("t"), zero.cast("long").alias("cell"), parted.alias("part"), zero.alias("kind"), "rid", "v")
+        again = top(rest, short.mapInArrow(everything, layout))
+        met = met.join(short, met["query"] == short["_rid"], "left_anti").unionByName(again)
     ids = rows.select(F.col("_rid").alias("rid"), F.col("_id").alias(id_col))
     asked_ids = flagged.where("_q").select(F.col("_rid").alias("query"), F.col("_id").alias("query_id"))
-    return top.join(ids, "rid").join(asked_ids, "query").select("query_id", "rank", id_col, "score")
+    return met.join(ids, "rid").join(asked_ids, "query").select("query_id", "rank", id_col, "score")

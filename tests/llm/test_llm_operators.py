@@ -347,6 +347,21 @@ def test_cross_polytope_recall_under_skewed_norms(spark, monkeypatch, norms):
     assert sum(hits) / (100 * 20) >= 0.9
 
 
+def test_cross_polytope_always_returns_all_candidates_there_are(spark, monkeypatch):
+    prepare(spark)
+    monkeypatch.setattr(cross_polytope, "WHOLE_BAND", 0, raising=False)
+    monkeypatch.setattr(cross_polytope, "PART", 8)
+    x = np.random.default_rng(9).normal(size=(35, 64))
+    x = [v / np.linalg.norm(v) for v in x[:21]] + [v[:5] for v in x[21:]]
+    df = spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in cross_polytope.nearest_vectors(df, lambda i: i >= 0, 20).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    for q, v in enumerate(x):
+        others = [i for i in range(len(x)) if i != q and len(x[i]) == len(v)]
+        assert got[q] == sorted(others, key=lambda i: -float(v @ x[i]))
+
+
 def test_quality_learns_and_ignores_held_out(spark):
     prepare(spark)
     docs = [(i, prose(60, i).upper().replace(" ", "!! ") if i % 2 else prose(60, i)) for i in range(300)] + [(900, None), (901, "")]
