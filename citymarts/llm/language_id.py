@@ -25,8 +25,17 @@ from pyspark.sql import functions as F
 from citymarts.llm.common import byte_column, prepare, runs_of_rows, save
 
 BUCKETS = 1 << 14
-#: Languages told apart: the most often declared ones.
-MAX_LANGUAGES = 64
+#: Languages whose trigrams a task counts before it passes them on, and cells of documents x languages scored at once.
+HELD_LANGUAGES = 64
+HELD_SCORES = 1 << 20
+#: Two-letter codes of languages (ISO 639-1, with withdrawn ones); of three letters, all but those for no one language.
+TWO_LETTERS = (
+    "aa ab ae af ak am an ar as av ay az ba be bg bh bi bm bn bo br bs ca ce ch co cr cs cu cv cy da de dv dz ee el en eo es et eu fa ff fi fj fo fr "
+    "fy ga gd gl gn gu gv ha he hi ho hr ht hu hy hz ia id ie ig ii ik in io is it iu iw ja ji jv jw ka kg ki kj kk kl km kn ko kr ks ku kv kw ky la "
+    "lb lg li ln lo lt lu lv mg mh mi mk ml mn mo mr ms mt my na nb nd ne ng nl nn no nr nv ny oc oj om or os pa pi pl ps pt qu rm rn ro ru rw sa sc "
+    "sd se sg sh si sk sl sm sn so sq sr ss st su sv sw ta te tg th ti tk tl tn to tr ts tt tw ty ug uk ur uz ve vi vo wa wo xh yi yo za zh zu"
+).split()
+NO_LANGUAGE = "^(mis|mul|und|zxx|q[a-t][a-z])$"
 #: Weight, in rows, of the level above when shares are smoothed.
 SMOOTHING = 20.0
 RELIABILITY = 0.9
@@ -53,27 +62,46 @@ def trigrams(raw: np.ndarray, off: np.ndarray):
     return row[:-2][good], (code >> np.uint32(18)).astype(np.int64)
 
 
-def _chunks(col):
+def _chunks(col, rows: int = 1 << 62):
     raw, off = byte_column(col)
-    for i, j in runs_of_rows(off, CHUNK):
-        yield i, j, trigrams(raw[off[i] : off[j]], off[i : j + 1] - off[i])
+    for first, last in runs_of_rows(off, CHUNK):
+        for i in range(first, last, rows):
+            j = min(last, i + rows)
+            yield i, j, trigrams(raw[off[i] : off[j]], off[i : j + 1] - off[i])
 
 
 class Evidence:
-    """What the corpus says: languages, their shares, and trigram distributions."""
+    """What the corpus says: languages, their shares, and trigram distributions.
 
-    def __init__(self, languages: list[str], shares: np.ndarray, logp: np.ndarray):
-        self.languages, self.shares, self.logp = languages, shares, logp
+    A distribution is a level for unseen buckets and a (bucket, value) row for
+    each seen one; those of language ``i`` stand from ``ends[i]`` to ``ends[i + 1]``.
+    """
+
+    def __init__(self, languages: list[str], shares: np.ndarray, lang: np.ndarray, bucket: np.ndarray, n: np.ndarray):
+        self.languages, self.shares = languages, shares
+        order = np.argsort(lang, kind="stable")
+        lang, n = lang[order], n[order]
+        total = np.bincount(lang, weights=n, minlength=len(languages)) + BUCKETS
+        self.ends = np.searchsorted(lang, np.arange(len(languages) + 1))
+        self.bucket = bucket[order].astype(np.uint16)
+        self.unseen = np.log(1 / total).astype(np.float32)
+        self.value = np.log((1 + n) / total[lang]).astype(np.float32)
+
+    def logp(self, i: int) -> np.ndarray:
+        """Log probabilities of all buckets in language ``i``."""
+        out, own = np.full(BUCKETS, self.unseen[i]), slice(self.ends[i], self.ends[i + 1])
+        out[self.bucket[own]] = self.value[own]
+        return out
 
 
 def evidence_rows(df: DataFrame, text: Column, declared: Column, host: Column | None, suffix: Column | None, keep: list[str]) -> DataFrame:
-    """``keep`` and ``_text``, ``_declared`` (lower-case primary subtag or NULL), ``_host``, ``_suffix``."""
+    """``keep`` and ``_text``, ``_declared`` (lower-case primary subtag, NULL if no code of a language), ``_host``, ``_suffix``."""
     tag = F.lower(F.regexp_extract(F.trim(declared.cast("string")), "^([A-Za-z]{2,3})(?:[-_].*)?$", 1))
     none = F.lit(None).cast("string")
     return df.select(
         *keep,
         text.cast("string").alias("_text"),
-        F.when(tag != "", tag).alias("_declared"),
+        F.when(tag.isin(TWO_LETTERS) | (F.length(tag) == 3) & ~tag.rlike(NO_LANGUAGE), tag).alias("_declared"),
         (none if host is None else F.lower(host)).alias("_host"),
         (none if suffix is None else F.lower(suffix)).alias("_suffix"),
     )
@@ -82,46 +110,62 @@ def evidence_rows(df: DataFrame, text: Column, declared: Column, host: Column |
 def gather(rows: DataFrame) -> tuple[Evidence, DataFrame]:
     """Evidence of the whole corpus, and the prior (array of log shares) of every host."""
     counts = save(rows.where("_declared is not null").groupBy("_suffix", "_host", "_declared").count(), "language-counts")
-    total = counts.groupBy("_declared").agg(F.sum("count").alias("n")).orderBy(F.desc("n"), "_declared").limit(MAX_LANGUAGES).collect()
+    total = counts.groupBy("_declared").agg(F.sum("count").alias("n")).orderBy(F.desc("n"), "_declared").collect()
     languages = [r[0] for r in total]
     shares = np.array([float(r.n) for r in total])
     shares = shares / shares.sum() if len(shares) else shares
 
     def count(batches):
         seen = {name: i for i, name in enumerate(languages)}
-        sums = np.zeros((len(languages), BUCKETS), np.int64)
+        held = {}
+
+        def counted():
+            for lang, sums in held.items():
+                at = np.flatnonzero(sums)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), lang, np.int32)), pa.array(at.astype(np.int32)), pa.array(sums[at])], names=["lang", "bucket", "n"]
+                )
+            held.clear()
+
         for b in batches:
-            own = np.array([seen.get(x, -1) for x in b.column(1).to_pylist()], np.int64)
+            own = np.array([seen[x] for x in b.column(1).to_pylist()], np.int64)
             for i, j, (row, bucket) in _chunks(b.column(0)):
-                which = own[i:j][row]
-                use = which >= 0
-                sums += np.bincount(which[use] * BUCKETS + bucket[use], minlength=sums.size).reshape(sums.shape)
-        lang, bucket = np.nonzero(sums)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(lang.astype(np.int32)), pa.array(bucket.astype(np.int32)), pa.array(sums[lang, bucket])], names=["lang", "bucket", "n"]
+                present, local = np.unique(own[i:j], return_inverse=True)
+                which = local[row]
+                for k in range(0, len(present), HELD_LANGUAGES):
+                    some = present[k : k + HELD_LANGUAGES]
+                    use = slice(None) if len(some) == len(present) else (which >= k) & (which < k + len(some))
+                    sums = np.bincount((which[use] - k) * BUCKETS + bucket[use], minlength=len(some) * BUCKETS).reshape(-1, BUCKETS)
+                    for lang, more in zip(some.tolist(), sums):
+                        held[lang] = held[lang] + more if lang in held else more.copy()
+                    if len(held) >= HELD_LANGUAGES:
+                        yield from counted()
+        yield from counted()
+
+    sums = rows.where("_declared is not null").select("_text", "_declared").mapInArrow(count, "lang int, bucket int, n long")
+    # at most one number for each bucket that occurs in a declared language reaches the driver
+    got = sums.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    known = Evidence(languages, shares, *(got[c].to_numpy() for c in ("lang", "bucket", "n")))
+
+    def level(*by):
+        per = counts.groupBy(*by, "_declared").agg(F.sum("count").alias("count"))
+        return per.groupBy(*by).agg(F.sum("count").alias("n"), F.map_from_entries(F.collect_list(F.struct("_declared", "count"))).alias("_per"))
+
+    def smooth(above, then=lambda x: x):
+        return F.transform(
+            listed(languages), lambda x, i: then((F.coalesce(F.col("_per")[x], F.lit(0)) + SMOOTHING * F.get(above, i)) / (F.col("n") + SMOOTHING))
         )
 
-    logp = np.ones((len(languages), BUCKETS))
-    if languages:
-        sums = rows.where("_declared is not null").select("_text", "_declared").mapInArrow(count, "lang int, bucket int, n long")
-        # at most languages x buckets numbers reach the driver
-        got = sums.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-        logp[got["lang"].to_numpy(), got["bucket"].to_numpy()] += got["n"].to_numpy()
-    logp = np.log(logp / logp.sum(axis=1, keepdims=True)).astype(np.float32)
+    by_suffix = level("_suffix").select("_suffix", smooth(listed(shares, "double")).alias("_above"))
+    hosts = level("_suffix", "_host").withColumnsRenamed({"_suffix": "_s", "_host": "_h"})
+    hosts = hosts.join(by_suffix, F.col("_s").eqNullSafe(F.col("_suffix")))
+    return known, hosts.select("_s", "_h", smooth(F.col("_above"), F.log).alias("_prior"))
 
-    def sums(*by):
-        per = [F.sum(F.when(F.col("_declared") == x, F.col("count")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(languages)]
-        return counts.groupBy(*by).agg(F.sum("count").alias("n"), *per) if languages else counts.groupBy(*by).agg(F.sum("count").alias("n"))
 
-    def smooth(i, above):
-        return (F.col(f"n{i}") + SMOOTHING * above) / (F.col("n") + SMOOTHING)
-
-    level = [F.lit(float(s)) for s in shares]
-    by_suffix = sums("_suffix").select("_suffix", F.array(*(smooth(i, s) for i, s in enumerate(level))).cast("array<double>").alias("_above"))
-    hosts = sums("_suffix", "_host").withColumnsRenamed({"_suffix": "_s", "_host": "_h"})
-    hosts = hosts.join(by_suffix, F.col("_s").eqNullSafe(F.col("_suffix")))
-    prior = F.array(*(F.log(smooth(i, F.col("_above")[i])) for i in range(len(languages)))).cast("array<double>")
-    return Evidence(languages, shares, logp), hosts.select("_s", "_h", prior.alias("_prior"))
+def listed(values, kind: str = "string") -> Column:
+    """A constant array of ``values`` that stays one node of the plan however many they are."""
+    joined = ",".join(map(str, values))
+    return (F.split(F.lit(joined), ",") if joined else F.array()).cast(f"array<{kind}>")
 
 
 def identify(
@@ -133,7 +177,8 @@ def identify(
     A row is rejected if its text (NULL: empty) has no letter to judge by, in
     which case its language is NULL, or if no language reaches
     ``min_confidence``. Unknown hosts fall back to their suffix's shares or the
-    corpus's, NULL or unknown declared languages say nothing. Equal posteriors
+    corpus's, NULL declared languages and codes of no language say nothing.
+    Every declared language is told apart, however many there are. Equal posteriors
     go to the language declared more often. A corpus that declares no language
     rejects all. Repeated rows stay; names in ``keep`` must not start with an underscore.
     """
@@ -146,10 +191,12 @@ def identify(
 
     def judge(batches):
         for b in batches:
-            for i, j, (row, bucket) in _chunks(b.column(width)):
+            for i, j, (row, bucket) in _chunks(b.column(width), max(1, HELD_SCORES // max(1, size))):
                 n = np.bincount(row, minlength=j - i)
                 scale = np.minimum(n, EVIDENCE) / np.maximum(n, 1)
-                like = np.stack([np.bincount(row, weights=p[bucket], minlength=j - i) * scale for p in known.logp], axis=1) if size else np.zeros((j - i, 0))
+                like = np.zeros((j - i, size))
+                for k in range(size):
+                    like[:, k] = np.bincount(row, weights=known.logp(k)[bucket], minlength=j - i) * scale
                 ends = pa.array(np.arange(j - i + 1, dtype=np.int32) * size)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(k).slice(i, j - i) for k in range(width)] + [pa.ListArray.from_arrays(ends, pa.array(like.reshape(-1))), pa.array(n)],
@@ -161,19 +208,21 @@ def identify(
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     judged = rows.select(*schema.names, "_text").mapInArrow(judge, f"{ddl}, _like array<double>, _n long")
     both = F.col("_host").eqNullSafe(F.col("_h")) & F.col("_suffix").eqNullSafe(F.col("_s"))
-    flat = F.array(*(F.lit(math.log(s)) for s in known.shares)).cast("array<double>")
+    flat = listed((math.log(s) for s in known.shares), "double")
     scored = judged.join(priors, both, "left").withColumn("_p", F.coalesce("_prior", flat))
     if not size:
         return scored.select(*keep, F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("confidence"), F.lit(False).alias("kept"))
     wrong = math.log((1 - RELIABILITY) / max(1, size - 1))
-    spoken = F.col("_declared").isin(known.languages)
-    terms = [
-        F.col("_p")[i] + F.col("_like")[i] + F.when(spoken, F.when(F.col("_declared") == x, math.log(RELIABILITY)).otherwise(wrong)).otherwise(0.0)
-        for i, x in enumerate(known.languages)
-    ]
-    scored = scored.withColumn("_t", F.array(*terms)).withColumn("_top", F.array_max("_t"))
+    languages = listed(known.languages)
+    own = F.array_position(languages, F.col("_declared")) - 1
+    said = F.when(F.col("_own").isNull(), 0.0)
+    terms = F.transform(
+        F.zip_with("_p", "_like", lambda p, x: p + x),
+        lambda x, i: x + said.when(i == F.col("_own"), math.log(RELIABILITY)).otherwise(wrong),
+    )
+    scored = scored.withColumn("_own", own).withColumn("_t", terms).withColumn("_top", F.array_max("_t"))
     share = 1 / F.aggregate("_t", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("_top")))
-    best = F.element_at(F.array(*(F.lit(x) for x in known.languages)), F.array_position("_t", F.col("_top")).cast("int"))
+    best = F.element_at(languages, F.array_position("_t", F.col("_top")).cast("int"))
     seen = F.col("_n") > 0
     return scored.select(*keep, F.when(seen, best).alias("language"), share.alias("confidence"), (seen & (share >= min_confidence)).alias("kept"))
 

@@ -396,3 +396,21 @@ def test_language_fuses_evidence(spark, corpus):
     text, declared, host, suffix = language_id.page_columns()
     row = page.select(F.trim(text), declared, host, suffix).first()
     assert tuple(row) == ("Haus", "de-AT", "a.b.de", "de")
+
+
+def test_every_declared_language_is_told_apart(spark):
+    prepare(spark)
+    codes = "aa ab af am ar az be bg bn br bs ca cs cy da de el en eo es et eu fa fi fr ga gl gu ha he hi hr hu hy id is it ja ka kk km kn ko ky la lb lo lt lv".split()
+    codes += "mg mk ml mn mr ms mt my ne nl no pl pt ro ru sk sl sq sr sv sw ta te th tr uk ur ceb fil".split()
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def words(i):
+        own = np.random.default_rng(i)
+        return " ".join("".join(own.choice(list(letters), 7)) for _ in range(12))
+
+    docs = [(i * 10 + k, words(i) * 2, c) for i, c in enumerate(codes) for k in range(3 if i < 64 else 2)]
+    docs += [(9000, words(500), "xx"), (9001, words(500), "und"), (9002, words(77), None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in language_id.identify(df, ["doc_id"], F.col("text"), F.col("lang")).collect()}
+    assert len(codes) > 64 and all(got[i].language == c and got[i].kept for i, _, c in docs if i < 9000)
+    assert got[9000].language in codes and got[9001].language in codes and got[9002].language == codes[77]
