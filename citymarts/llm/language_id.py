@@ -62,6 +62,16 @@ def trigrams(raw: np.ndarray, off: np.ndarray):
     return row[:-2][good], (code >> np.uint32(18)).astype(np.int64)
 
 
+def lettered(col) -> np.ndarray:
+    """Whether each text has a letter, also one too short for a trigram."""
+    raw, off = byte_column(col)
+    out = np.zeros(len(off) - 1, bool)
+    for i, j in runs_of_rows(off, CHUNK):
+        seen = np.append(0, np.cumsum(_FOLD[raw[off[i] : off[j]]] != 32))
+        out[i:j] = np.diff(seen[off[i : j + 1] - off[i]]) > 0
+    return out
+
+
 def _chunks(col, rows: int = 1 << 62):
     raw, off = byte_column(col)
     for first, last in runs_of_rows(off, CHUNK):
@@ -176,7 +186,7 @@ def identify(
 
     A row is rejected if its text (NULL: empty) has no letter to judge by, in
     which case its language is NULL, or if no language reaches
-    ``min_confidence``. Unknown hosts fall back to their suffix's shares or the
+    ``min_confidence``. A text too short for a trigram is judged by the other evidence. Unknown hosts fall back to their suffix's shares or the
     corpus's, NULL declared languages and codes of no language say nothing.
     Every declared language is told apart, however many there are. Equal posteriors
     go to the language declared more often. A corpus that declares no language
@@ -191,6 +201,7 @@ def identify(
 
     def judge(batches):
         for b in batches:
+            seen = pa.array(lettered(b.column(width)))
             for i, j, (row, bucket) in _chunks(b.column(width), max(1, HELD_SCORES // max(1, size))):
                 n = np.bincount(row, minlength=j - i)
                 scale = np.minimum(n, EVIDENCE) / np.maximum(n, 1)
@@ -199,14 +210,14 @@ def identify(
                     like[:, k] = np.bincount(row, weights=known.logp(k)[bucket], minlength=j - i) * scale
                 ends = pa.array(np.arange(j - i + 1, dtype=np.int32) * size)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(k).slice(i, j - i) for k in range(width)] + [pa.ListArray.from_arrays(ends, pa.array(like.reshape(-1))), pa.array(n)],
+                    [b.column(k).slice(i, j - i) for k in range(width)] + [pa.ListArray.from_arrays(ends, pa.array(like.reshape(-1))), seen.slice(i, j - i)],
                     names=names,
                 )
 
     schema = rows.select(*keep, "_declared", "_host", "_suffix").schema
-    names = [*schema.names, "_like", "_n"]
+    names = [*schema.names, "_like", "_seen"]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    judged = rows.select(*schema.names, "_text").mapInArrow(judge, f"{ddl}, _like array<double>, _n long")
+    judged = rows.select(*schema.names, "_text").mapInArrow(judge, f"{ddl}, _like array<double>, _seen boolean")
     both = F.col("_host").eqNullSafe(F.col("_h")) & F.col("_suffix").eqNullSafe(F.col("_s"))
     flat = listed((math.log(s) for s in known.shares), "double")
     scored = judged.join(priors, both, "left").withColumn("_p", F.coalesce("_prior", flat))
@@ -223,7 +234,7 @@ def identify(
     scored = scored.withColumn("_own", own).withColumn("_t", terms).withColumn("_top", F.array_max("_t"))
     share = 1 / F.aggregate("_t", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("_top")))
     best = F.element_at(languages, F.array_position("_t", F.col("_top")).cast("int"))
-    seen = F.col("_n") > 0
+    seen = F.col("_seen")
     return scored.select(*keep, F.when(seen, best).alias("language"), share.alias("confidence"), (seen & (share >= min_confidence)).alias("kept"))
 
 

@@ -414,3 +414,12 @@ def test_every_declared_language_is_told_apart(spark):
     got = {r.doc_id: r for r in language_id.identify(df, ["doc_id"], F.col("text"), F.col("lang")).collect()}
     assert len(codes) > 64 and all(got[i].language == c and got[i].kept for i, _, c in docs if i < 9000)
     assert got[9000].language in codes and got[9001].language in codes and got[9002].language == codes[77]
+
+
+def test_short_texts_are_judged_by_their_other_evidence(spark):
+    prepare(spark)
+    docs = [(i, "the house and the river " if i % 2 else "das haus und der fluss ", "en" if i % 2 else "de", f"h{i % 2}") for i in range(40)]
+    docs += [(100, "A.", "en", "h1"), (101, "b", "de", "h0"), (102, "7.", "en", "h1"), (103, "é", "en", "h1"), (104, "", "de", "h0")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: (r.language, r.kept) for r in language_id.identify(df, ["doc_id"], F.col("text"), F.col("lang"), F.col("source")).collect()}
+    assert [got[i] for i in range(100, 105)] == [("en", True), ("de", True), (None, False), ("en", True), (None, False)]
