@@ -17,9 +17,9 @@ corpus is not needed for that, so the work narrows in steps:
 4. The spans found are cut out of the documents.
 
 An anchor with very many different contents (a frequent line between changing
-neighbours) would gather them in one task. Such anchors are found in a sample
-of the documents and their runs are split to single windows, keyed by the
-window itself; this moves work, not results.
+neighbours) would gather them in one task. The contents of every anchor are
+counted, and the runs of those with too many are split to single windows, keyed
+by the window itself; this moves work, not results.
 """
 
 from __future__ import annotations
@@ -37,11 +37,12 @@ SPAN = 100
 GRAM = 24
 #: Bytes handled at once in a task.
 CHUNK = 1 << 20
-#: Documents looked at for frequent anchors (one in so many), and how many
-#: contents in them make an anchor frequent.
+#: An anchor of more contents than the product of these is split: ``FREQUENT``
+#: for every ``SAMPLE_ONE_IN`` of its contents (all are counted, none sampled).
 SAMPLE_ONE_IN = 64
 FREQUENT = 64
-MAX_FREQUENT = 10_000
+#: Runs split to single windows at once.
+SPLIT_RUNS = 20_000
 #: Bytes of fetched runs sorted at once (whole groups).
 SORT_BYTES = 1 << 21
 
@@ -72,7 +73,7 @@ def _hashes(x: np.ndarray, gram: int, span: int):
     return _mix(grams), _mix(spans)
 
 
-def window_runs(raw: np.ndarray, off: np.ndarray, docs: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+def window_runs(raw: np.ndarray, off: np.ndarray, docs: np.ndarray) -> np.ndarray:
     """Runs of windows of joined texts, as an array of ``RUN``. Long texts are
     handled part by part; a part's end only ends a run."""
     out = []
@@ -106,19 +107,23 @@ def window_runs(raw: np.ndarray, off: np.ndarray, docs: np.ndarray, frequent: np
             r["anchor"], r["n"] = least[at], n
             r["content"] = _mix(spans[at] * _STEP[2] + spans[at + n - 1] + n.astype(np.uint64))
             r["doc"], r["pos"] = docs[row[at]], starts[at] - off[row[at]]
-            hot = np.isin(r["anchor"], frequent) if len(frequent) else np.zeros(len(r), bool)
-            if hot.any():
-                many, times = r[hot], r["n"][hot]
-                step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                one = np.repeat(many, times)
-                key = spans[np.repeat(at[hot], times) + step]
-                one["pos"] += step
-                one["n"], one["anchor"], one["content"] = 1, _mix(key), key
-                r = np.concatenate((r[~hot], one))
             out.append(r)
     return np.concatenate(out) if out else np.zeros(0, RUN)
 
 
+def single_windows(raw: np.ndarray, at: np.ndarray, n: np.ndarray, docs: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """The windows of runs (``n`` of them from byte ``at`` on), each a run keyed by itself."""
+    size = n + SPAN - 1
+    first = np.cumsum(size) - size
+    _, spans = _hashes(raw[np.arange(size.sum()) + np.repeat(at - first, size)], GRAM, SPAN)
+    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    key = spans[np.repeat(first, n) + step]
+    r = np.empty(len(key), RUN)
+    r["anchor"], r["content"], r["n"] = _mix(key), key, 1
+    r["doc"], r["pos"] = np.repeat(docs, n), np.repeat(pos, n) + step
+    return r
+
+
 def _sorted(runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Runs by (anchor, content, place), and which are the first of their content."""
     order = np.lexsort((runs["pos"], runs["doc"], runs["content"], runs["anchor"]))
@@ -174,34 +179,21 @@ def _unpack(data: bytes) -> np.ndarray:
     return out
 
 
-def _chunks_of_runs(batches, frequent):
+def _chunks_of_runs(batches):
     for b in batches:
         raw, off = byte_column(b.column(1))
         docs = b.column(0).to_numpy()
         for i, j in runs_of_rows(off, 16 * CHUNK):
-            yield window_runs(raw[off[i] : off[j]], off[i : j + 1] - off[i], docs[i:j], frequent)
-
-
-def frequent_anchors(docs: DataFrame) -> np.ndarray:
-    """Anchors with many different contents in a sample of the documents; at
-    most ``MAX_FREQUENT`` numbers reach the driver."""
-
-    def run(batches):
-        for runs in _chunks_of_runs(batches, np.zeros(0, np.uint64)):
-            runs, first = _sorted(runs)
-            anchor, n = np.unique(runs["anchor"][first], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(n.astype(np.int64))], names=["anchor", "n"])
+            yield window_runs(raw[off[i] : off[j]], off[i : j + 1] - off[i], docs[i:j])
 
-    some = docs.where(F.pmod(F.xxhash64("_rid"), F.lit(SAMPLE_ONE_IN)) == 0).select("_rid", "_text").mapInArrow(run, "anchor long, n long")
-    many = some.groupBy("anchor").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "anchor").limit(MAX_FREQUENT)
-    return np.sort(np.array([r.anchor for r in many.collect()], np.int64).view(np.uint64))
 
-
-def _copies(docs: DataFrame, buckets: int, frequent: np.ndarray) -> DataFrame:
-    """Steps 1 and 2: spans of copied runs (``n`` 0), and the runs to fetch (``n`` windows)."""
+def _first_of_each(rows: DataFrame, runs_of, buckets: int) -> DataFrame:
+    """Spans of copied runs (``n`` 0), and the first run of each anchor and
+    content (``n`` windows), of the runs that ``runs_of`` makes of ``rows``.
+    Runs are dealt by content, so an anchor of many contents is spread."""
 
     def cut(batches):
-        for runs in _chunks_of_runs(batches, frequent):
+        for runs in runs_of(batches):
             runs, first = _sorted(runs)
             gone = runs[~first]
             names = ["bucket", "data", "spans"]
@@ -211,7 +203,7 @@ def _copies(docs: DataFrame, buckets: int, frequent: np.ndarray) -> DataFrame:
                 home = [int(runs["content"][0] % np.uint64(buckets))]
                 yield pa.RecordBatch.from_arrays([pa.array(home, kinds[0]), pa.array([b""], kinds[1]), pa.array([np.stack(spans).tobytes()], kinds[2])], names=names)
             runs = runs[first]
-            home = (runs["anchor"] % np.uint64(buckets)).astype(np.int32)
+            home = (runs["content"] % np.uint64(buckets)).astype(np.int32)
             order = np.argsort(home, kind="stable")
             runs, home = runs[order], home[order]
             edges = np.flatnonzero(np.append(True, home[1:] != home[:-1])) if len(home) else np.zeros(0, int)
@@ -227,16 +219,34 @@ def _copies(docs: DataFrame, buckets: int, frequent: np.ndarray) -> DataFrame:
         runs, first = _sorted(runs)
         gone = runs[~first]
         out.append(_span_rows(gone["doc"], gone["pos"], gone["pos"] + gone["n"] + SPAN - 1))
-        runs = runs[first]
-        _, back, size = np.unique(runs["anchor"], return_inverse=True, return_counts=True)
-        ask = runs[size[back] > 1] if len(runs) else runs
+        ask = runs[first]
         out.append(_found(ask["doc"], ask["pos"], ask["pos"] + ask["n"] + SPAN - 1, ask["n"], ask["anchor"]))
         return pa.Table.from_batches(out)
 
-    cut_runs = docs.select("_rid", "_text").mapInArrow(cut, "bucket int, data binary, spans binary")
+    cut_runs = rows.mapInArrow(cut, "bucket int, data binary, spans binary")
     return cut_runs.groupBy("bucket").applyInArrow(meet, _FOUND)
 
 
+def _asked_runs(batch):
+    """Of documents (first column key, second text) with ``runs`` in the last
+    column: the bytes, and first byte, document, start, stop and anchor of every run."""
+    runs = batch.column(batch.num_columns - 1)
+    raw, off = byte_column(batch.column(1))
+    flat = runs.flatten()
+    start, stop, anchor = (flat.field(k).to_numpy() for k in ("start", "stop", "anchor"))
+    ends = runs.offsets.to_numpy() - runs.offsets[0].as_py()
+    row = np.repeat(np.arange(len(runs)), np.diff(ends))
+    return raw, off[row] + start, batch.column(0).to_numpy()[row], start, stop, anchor
+
+
+def _split_runs(batches):
+    for b in batches:
+        raw, at, doc, start, stop, _ = _asked_runs(b)
+        for i in range(0, len(at), SPLIT_RUNS):
+            s = slice(i, i + SPLIT_RUNS)
+            yield single_windows(raw, at[s], (stop - start)[s] - SPAN + 1, doc[s], start[s])
+
+
 def _shared(fetched: DataFrame) -> DataFrame:
     """Step 3: spans of windows that fetched runs of one anchor share with an earlier one."""
 
@@ -292,29 +302,33 @@ def remove_repeats(df: DataFrame, keep: list[str], id_col: str = "doc_id", text_
     names = [f"_k{i}" for i in range(len(keep))]
     docs = df.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"), *(F.col(c).alias(n) for c, n in zip(keep, names)))
     docs = row_key(docs, "_id", "_text").drop("_id").select("_rid", "_text", *names)
-    found = save(_copies(docs, bucket_count(df), frequent_anchors(docs)), "repeat-runs")
-    wanted = found.where("n > 0").groupBy("doc").agg(F.collect_list(F.struct("start", "stop", "anchor")).alias("runs"))
+    buckets = bucket_count(df)
+    texts = docs.select("_rid", "_text")
+    found = save(_first_of_each(texts, _chunks_of_runs, buckets), "repeat-runs")
+    firsts = found.where("n > 0").select("doc", "start", "stop", "anchor")
+    contents = firsts.groupBy("anchor").agg(F.count("*").alias("contents")).where("contents > 1")
+    wanted = firsts.join(contents, "anchor").withColumn("frequent", F.col("contents") > FREQUENT * SAMPLE_ONE_IN)
+    wanted = save(wanted.drop("contents"), "repeat-wanted")
+
+    def ask(chosen):
+        runs = chosen.groupBy("doc").agg(F.collect_list(F.struct("start", "stop", "anchor")).alias("runs"))
+        return texts.join(runs, texts["_rid"] == runs["doc"]).select("_rid", "_text", "runs")
 
     def fetch(batches):
         for b in batches:
-            text, runs = b.column(1), b.column(b.num_columns - 1)
-            raw, off = byte_column(text)
-            flat = runs.flatten()
-            start, stop, anchor = (flat.field(k).to_numpy() for k in ("start", "stop", "anchor"))
-            ends = runs.offsets.to_numpy() - runs.offsets[0].as_py()
-            row = np.repeat(np.arange(len(runs)), np.diff(ends))
-            doc = b.column(0).to_numpy()[row]
-            base = off[row]
-            for i in range(0, len(row), 20_000):
+            raw, at, doc, start, stop, anchor = _asked_runs(b)
+            for i in range(0, len(at), 20_000):
                 s = slice(i, i + 20_000)
-                own = [raw[x:y].tobytes() for x, y in zip((base[s] + start[s]).tolist(), (base[s] + stop[s]).tolist())]
+                own = [raw[x:y].tobytes() for x, y in zip(at[s].tolist(), (at + stop - start)[s].tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(anchor[s]), pa.array(doc[s]), pa.array(start[s]), pa.array(own, pa.binary())], names=["anchor", "doc", "pos", "text"]
                 )
 
-    asked = docs.join(wanted, docs["_rid"] == wanted["doc"]).select("_rid", "_text", *names, "runs")
-    fetched = asked.mapInArrow(fetch, "anchor long, doc long, pos long, text binary")
-    spans = found.where("n = 0").unionByName(_shared(fetched)).groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    fetched = ask(wanted.where("not frequent")).mapInArrow(fetch, "anchor long, doc long, pos long, text binary")
+    spans = found.where("n = 0").unionByName(_shared(fetched))
+    if wanted.where("frequent").limit(1).count():
+        spans = spans.unionByName(_first_of_each(ask(wanted.where("frequent")), _split_runs, buckets).where("n = 0"))
+    spans = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     joined = docs.join(spans, docs["_rid"] == spans["doc"], "left").select("_rid", "_text", *names, "spans")
     kept_type = docs.select(*names).schema
 

@@ -159,6 +159,25 @@ def test_repeats_are_removed(corpus, rows, monkeypatch, frequent):
     assert not suffix_dedup.remove_repeats(corpus.limit(0), ["doc_id"]).count()
 
 
+def test_no_anchor_of_many_contents_reaches_one_sort(spark, monkeypatch):
+    prepare(spark)
+    monkeypatch.setattr(suffix_dedup, "FREQUENT", 1)
+    rng = np.random.default_rng(12)
+    line = "the very same line stands between changing neighbours, again and again."
+    change = ["".join(rng.choice(list("abcdefghijklmnop "), 90)) for _ in range(600)]
+    rows = [(3, line.join(change)), (4, "new " + line.join(change[200:240]) + " end"), (5, change[7] + line + change[9])]
+    most, real = [], suffix_dedup._shared
+
+    def shared(fetched):
+        most.append(fetched.groupBy("anchor").count().agg(F.max("count")).first()[0] or 0)
+        return real(fetched)
+
+    monkeypatch.setattr(suffix_dedup, "_shared", shared)
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"]).collect()
+    assert sorted((True, r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == brute_repeats(rows)
+    assert most[0] <= suffix_dedup.FREQUENT * suffix_dedup.SAMPLE_ONE_IN
+
+
 def test_byte_bpe_equals_tiktoken(corpus, rows):
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     ranks = byte_bpe.ByteBpe(path, pattern).ranks
