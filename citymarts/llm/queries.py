@@ -2,7 +2,7 @@
 
 Each applies its operator, with production parameters, to the whole of its
 table and derives the digest columns from the operator's output.
-``ORACLE_SQL`` holds DuckDB SQL where SQL can express the result.
+``ORACLE_SQL`` (see ``oracle_sql``) holds DuckDB SQL where SQL can express the result.
 """
 
 from __future__ import annotations
@@ -11,13 +11,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citymarts.llm import byte_bpe, cross_polytope, id_files, language_id, lattice_dedup, packing, quality, sharding, simhash_dedup, suffix_dedup
+from citymarts.llm import (
+    byte_bpe, cross_polytope, fill_middle, id_files, language_id, lattice_dedup, lexical_search, packing, quality, sharding, simhash_dedup,
+    suffix_dedup, url_rules,
+)
 from citymarts.llm.common import scratch, table
+from citymarts.llm.oracle_sql import ORACLE_SQL  # noqa: F401
 from citymarts.llm.stages import piece_digest
 
 SHARDS = 24
 QUERY_EVERY = 20
 NEIGHBOURS = 20
+RANKED = 10
+URL_RULES = [
+    (url_rules.ALLOW, "org/"),
+    (url_rules.BLOCK, "example.org/es/"),
+    (url_rules.BLOCK, "example.org/en/1"),
+    (url_rules.ALLOW, "com/fr/"),
+    (url_rules.BLOCK, "com/de/"),
+]
 
 
 def op1_lattice_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +107,30 @@ def op10_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(docs, "doc_id", [1.0] * SHARDS, "text", 1.0).withColumn("law", F.lit("key"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item, by weighted terms."""
+    return lexical_search.rank_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), RANKED)
+
+
+def op12_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's URL: the given rules', else that of the rules mined from the URLs those judge."""
+    return url_rules.filter_urls(table(spark, sf_dir, "pages"), rules=URL_RULES)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as fill-in-the-middle text, and the text rebuilt from it."""
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        F.char_length("prefix").cast("long").alias("prefix_chars"),
+        F.char_length("middle").cast("long").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_lattice_near_dedup": op1_lattice_near_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -106,9 +142,8 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_language_id": op9_language_id,
     "op10_rendezvous_sharding": op10_rendezvous_sharding,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_url_rules": op12_url_rules,
+    "op13_fill_in_middle": op13_fill_in_middle,
     "page_languages": page_languages,
 }
-
-#: Tokenizers, trained models, XXH64, CRC-32 and vector search are beyond DuckDB
-#: SQL; tests hold these queries against brute force.
-ORACLE_SQL: dict[str, str] = {}
