@@ -221,8 +221,8 @@ def rank_items(
     (id, text) of ``items`` is an item; one without terms gets no rows. Other
     columns are not read, so names cannot clash. Empty tables give no rows.
 
-    Items are taken in blocks of about ``block_bytes`` of text, told apart by a
-    hash; what a block sends to the tasks (its terms and DAG) is bounded by
+    Items are taken in blocks of about ``block_bytes`` of text (one item at
+    least), told apart by a hash; what a block sends to the tasks (its terms and DAG) is bounded by
     that, not by the tables. Per block: one pass over the texts writes the
     documents' postings of the block's terms to the shared folder, document
     frequencies are counted map-side, and one pass over the postings makes the
@@ -234,7 +234,8 @@ def rank_items(
     body = F.col(text).cast("string")
     asked = items.where(body != "").select(F.col(item_id).alias("_item"), body.alias("_text")).distinct()
     asked = save(asked, "search-items")
-    blocks = 1 + (asked.agg(F.sum(F.octet_length("_text"))).first()[0] or 0) // block_bytes
+    size, count = asked.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0)), F.count("*")).first()
+    blocks = min(count, 1 + size // block_bytes)
     block = F.pmod(F.xxhash64("_item", "_text"), F.lit(blocks))
     found = []
     for k in range(blocks):
