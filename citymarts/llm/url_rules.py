@@ -186,7 +186,8 @@ def filter_urls(
     ``otherwise``. Repeated rows are judged alike; NULL keys stay. Other columns
     are not read, so names cannot clash. Verdicts are found once per distinct
     token list (combined map-side) and joined back; the join may be split where
-    one list holds much of the table. An empty table gives no rows.
+    one list holds much of the table, and rows that ``rules`` judge or that have
+    no tokens are not shuffled. An empty table gives no rows.
     """
     host, path, query = url_parts(F.col(url))
     named = pages.select(F.col(key), host.alias("host"), path.alias("path"), query.alias("_query"))
@@ -200,13 +201,12 @@ def filter_urls(
         parts = labelled.select(*(c.alias(n) for c, n in zip(url_parts(F.col("url")), ("host", "path", "query"))), "verdict")
         known = parts.select(url_tokens(F.col("host"), F.col("path"), F.col("query")).alias("tokens"), "verdict").where("verdict IS NOT NULL")
     classes, mined = mine_rules(known, min_support, min_confidence)
-    open_rows = rows.where("_judged IS NULL").select("tokens")
-    verdicts = judge_tokens(open_rows, classes, mined).select(
-        F.col("tokens").alias("_tokens"), F.col("verdict").alias("_mined"), "confidence"
-    )
-    wanted = F.when(F.col("_judged").isNull() & (F.size("tokens") > 0), F.col("tokens"))
-    return (
-        rows.withColumn("_wanted", wanted)
-        .join(verdicts, F.col("_wanted") == F.col("_tokens"), "left")
-        .select(F.col(key), "host", "path", "rule", F.coalesce("_judged", "_mined", F.lit(otherwise)).alias("verdict"), "confidence")
+    # Rows that need no lookup take no part in the join: their common key would land in one task.
+    asks = F.col("_judged").isNull() & (F.size("tokens") > 0)
+    asked = rows.where(asks)
+    verdicts = judge_tokens(asked.select("tokens"), classes, mined).select("tokens", F.col("verdict").alias("_mined"), "confidence")
+    looked_up = asked.join(verdicts, "tokens", "left")
+    rest = rows.where(~asks).withColumns({"_mined": F.lit(None).cast("string"), "confidence": F.lit(None).cast("double")})
+    return looked_up.unionByName(rest).select(
+        F.col(key), "host", "path", "rule", F.coalesce("_judged", "_mined", F.lit(otherwise)).alias("verdict"), "confidence"
     )
