@@ -1,4 +1,5 @@
-"""Command line: ``python -m citymarts refresh --raw DIR --out DIR [--as-of TS] [--incremental]``.
+"""Command line: ``python -m citymarts refresh --raw DIR --out DIR [--as-of TS] [--incremental]``
+and ``python -m citymarts compact --out DIR``.
 
 Exit code 0 = all stages and gates passed, 1 = a stage failed, 2 = a
 quality gate failed (the scheduler's retry/alert contract).
@@ -25,10 +26,18 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument(
         "--input-bytes", type=int, default=None, help="input volume for partition sizing (default: size of --raw)"
     )
+    c = sub.add_parser("compact", help="pack the small files of many loads")
+    c.add_argument("--out", required=True, help="warehouse root")
+    c.add_argument("--master", default=None)
     args = parser.parse_args(argv)
 
     spark = build_session(master=args.master)
     try:
+        if args.command == "compact":
+            from citymarts.plans.refresh import compact_warehouse
+
+            print(compact_warehouse(spark, args.out))
+            return 0
         apply_scale_conf(spark, args.input_bytes if args.input_bytes is not None else input_size(spark, args.raw))
         from citymarts.plans.refresh import refresh
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citymarts.operators.latest import dedupe_first
@@ -33,6 +33,12 @@ def flag_first_delivery(
     return joined.select(*[df[c] for c in df.columns], flag.alias(flag_col))
 
 
+def outcome_status(received: Column, loaded: Column, error: Column | None = None) -> Column:
+    """``error`` if there is one, ``success`` if anything was new or nothing came, else ``duplicate``."""
+    status = F.when((loaded == 0) & (received > 0), F.lit("duplicate")).otherwise(F.lit("success"))
+    return status if error is None else F.when(error.isNotNull(), F.lit("error")).otherwise(status)
+
+
 def delivery_outcomes(
     df: DataFrame,
     group: Sequence[str],
@@ -52,11 +58,8 @@ def delivery_outcomes(
     if error_col:
         aggs.append(F.max(F.col(error_col)).alias("_err"))
     out = df.groupBy(*group).agg(*aggs)
-    status = F.when(F.col("rows_loaded") > 0, F.lit("success")).when(
-        F.col("rows_received") > 0, F.lit("duplicate")
-    ).otherwise(F.lit("success"))
+    status = outcome_status(F.col("rows_received"), F.col("rows_loaded"), F.col("_err") if error_col else None)
     if error_col:
-        status = F.when(F.col("_err").isNotNull(), F.lit("error")).otherwise(status)
         out = out.withColumn("error_message", F.substring(F.col("_err"), 1, max_message))
     out = out.withColumn("status", status)
     return out.drop("_err") if error_col else out

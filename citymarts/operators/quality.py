@@ -67,6 +67,12 @@ def gate_report(checks: Sequence[tuple[DataFrame, Sequence[Rule | MinRows], str]
     return out
 
 
+def key_repeats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keys`` and ``repeats``, how many rows hold them (grouped, combined map-side):
+    a key gate is ``Rule(name, F.col("repeats") > 1)`` on it."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("repeats"))
+
+
 def flag_violations(df: DataFrame, rules: Sequence[Rule], flag_col: str = "rule_violated") -> DataFrame:
     """Add the name of the first violated rule (NULL when the row is valid)."""
     first = F.coalesce(*[F.when(r.expr(), F.lit(r.name)) for r in rules], F.lit(None).cast("string"))

@@ -19,7 +19,7 @@ from citymarts.operators.delivery import delivery_outcomes, flag_first_delivery,
 from citymarts.operators.freshness import freshness_summary, freshness_verdict
 from citymarts.operators.geo import poi_counts, radius_catchment
 from citymarts.operators.latest import dedupe_first, last_non_null, latest_by_key, latest_snapshot
-from citymarts.operators.quality import MinRows, Rule, gate_report, kpi_missing, split_quarantine
+from citymarts.operators.quality import MinRows, Rule, gate_report, key_repeats, kpi_missing, split_quarantine
 from citymarts.operators.rollup import daily_rollup
 from citymarts.operators.scoring import pillar_contributions, standings
 from citymarts.operators.timeseries import lag_pct_change
@@ -464,8 +464,11 @@ def bucket_peak(spark, folder):
 
 
 def gates_report(spark, folder):
-    """Q1-Q5: declarative gates, one aggregate pass per table."""
+    """Q1-Q5: declarative gates over 2 dimensions, 6 facts and 4 marts, one aggregate
+    pass per table; the keys of the dimensions must be unique. Suppliers stand
+    for the source registry."""
     m = Marts(spark, folder)
+    sources = load(spark, folder, "supplier").select(F.col("s_suppkey").alias("source_id"))
     score_cols = ["city_intelligence_score", "score_environment", "score_economic", "score_mobility", "score_vibrancy"]
     out_of_range = None
     for c in score_cols:
@@ -474,12 +477,18 @@ def gates_report(spark, folder):
     return gate_report(
         [
             (m.dim, [MinRows("min_cities", 4), Rule("city_id_missing", F.col("city_id").isNull())], "dim_city"),
+            (key_repeats(m.dim, ["city_id"]), [Rule("city_id_repeated", F.col("repeats") > 1)], "dim_city_keys"),
+            (sources, [MinRows("min_sources", 6), Rule("source_id_missing", F.col("source_id").isNull())], "dim_source"),
+            (key_repeats(sources, ["source_id"]), [Rule("source_id_repeated", F.col("repeats") > 1)], "dim_source_keys"),
             (m.weather, [MinRows("non_empty"), Rule("temperature_range", (F.col("temperature_c") < -10) | (F.col("temperature_c") > 60))], "weather"),
             (m.air, [MinRows("non_empty")], "air_quality"),
             (m.fx, [MinRows("non_empty"), Rule("rate_positive", ~(F.col("units_per_usd") > 0))], "fx"),
             (m.news, [MinRows("non_empty")], "news"),
+            (economic_indicator(spark, folder), [MinRows("non_empty")], "economic_indicator"),
             (m.infra, [MinRows("non_empty")], "infrastructure"),
             (m.env, [MinRows("non_empty")], "mart_environment"),
+            (m.fx_mart, [MinRows("non_empty")], "mart_fx"),
+            (m.mobility, [MinRows("non_empty")], "mart_mobility"),
             (m.composite(), [MinRows("non_empty"), Rule("scores_in_range", out_of_range)], "mart_composite"),
         ]
     )
@@ -613,6 +622,80 @@ def _order_delivery_time():
     return F.timestamp_add("MICROSECOND", F.col("o_orderkey"), F.col("o_orderdate")).cast("timestamp_ntz")
 
 
+HOURLY_IDS = 16_384  # consecutive event ids per delivery (bounds every array at any scale)
+
+
+def _window_deliveries(ev):
+    """Two polls over the events of a city, as deliveries of whole windows:
+    ten-day windows, and the same moved by five days with revised values
+    (``rev`` = 1). Every event stands in one delivery of each; of the two the one
+    whose window ends later was delivered later. One event per city and second."""
+    one = latest_by_key(
+        ev.select("city_id", "d", "ts", "event_id", "value", "k", F.date_trunc("second", "ts").cast("timestamp_ntz").alias("t")),
+        ["city_id", "t"], "ts", "event_id",
+    )
+    day = F.date_diff(F.col("d"), F.lit("2024-01-01").cast("date"))
+    polls = F.array(
+        F.struct(F.lit(0).alias("rev"), F.floor(day / 10).alias("win")), F.struct(F.lit(1).alias("rev"), F.floor((day + 5) / 10).alias("win"))
+    )
+    rows = one.select("*", F.inline(polls))
+    part = F.floor(F.col("event_id") / HOURLY_IDS)
+    grouped = rows.groupBy("city_id", "rev", "win", part.alias("part")).agg(F.array_sort(F.collect_list(F.struct("t", "value", "k"))).alias("recs"))
+    delivered = F.timestamp_add("HOUR", F.col("win") * 2 - F.col("rev"), F.lit("2024-03-01 00:00:00").cast("timestamp_ntz"))
+    return grouped.withColumn("delivered", delivered.cast("timestamp_ntz"))
+
+
+def _hourly_raw(spark, folder, event_type: str, source: str, series: dict):
+    w = _window_deliveries(A.events(spark, folder).where(F.col("event_type") == event_type))
+    times = F.transform("recs", lambda r: F.date_format(r["t"], ISO_SECONDS))
+    of_record = lambda f: lambda r: f(r["value"] + F.col("rev"), r["k"])
+    arrays = [F.transform("recs", of_record(f)).alias(name) for name, f in series.items()]
+    payload = F.to_json(F.struct(F.struct(times.alias("time"), *arrays).alias("hourly")))
+    return _raw_rows(w, source, F.col("city_id"), payload, F.col("delivered"), F.concat_ws("/", "city_id", "rev", "win", "part"))
+
+
+def weather_deliveries(spark, folder):
+    """Weather payloads of parallel arrays (``view`` events; no wind was measured)."""
+    none = F.lit(None).cast("double")
+    series = {
+        "temperature_2m": lambda v, k: v, "precipitation": lambda v, k: v / F.lit(20.0), "relative_humidity_2m": lambda v, k: k, "wind_speed_10m": lambda v, k: none,
+    }
+    return _hourly_raw(spark, folder, "view", "open_meteo_weather", series)
+
+
+def air_quality_deliveries(spark, folder):
+    """Pollutant payloads (``purchase`` events; PM2.5 missing when k % 10 = 0)."""
+    series = {
+        "pm2_5": lambda v, k: F.when(k % 10 != 0, v), "pm10": lambda v, k: v * F.lit(1.5), "nitrogen_dioxide": lambda v, k: k, "ozone": lambda v, k: v / F.lit(4.0),
+    }
+    return _hourly_raw(spark, folder, "purchase", "open_meteo_air_quality", series)
+
+
+def news_deliveries(spark, folder):
+    """News payloads: two series of records (``error`` events), of which the first counts."""
+    w = _window_deliveries(A.events(spark, folder).where(F.col("event_type") == "error"))
+    stamp = lambda r: F.date_format(r["t"], "yyyyMMdd'T'HHmmss'Z'")
+    first = F.transform("recs", lambda r: F.struct(stamp(r).alias("date"), ((r["k"] + F.col("rev")) / F.lit(200.0)).alias("value")))
+    other = F.transform("recs", lambda r: F.struct(stamp(r).alias("date"), F.lit(-1.0).alias("value")))
+    payload = F.to_json(F.struct(F.array(F.struct(first.alias("data")), F.struct(other.alias("data"))).alias("timeline")))
+    return _raw_rows(w, "gdelt_news", F.col("city_id"), payload, F.col("delivered"), F.concat_ws("/", "city_id", "rev", "win", "part"))
+
+
+def weather_fact_builder(spark, folder):
+    """F1 on evidence-shaped payloads; hours that two deliveries hold are taken from the newer."""
+    return FB.weather_hourly(weather_deliveries(spark, folder)).drop("source_id", "raw_checksum")
+
+
+def air_quality_fact_builder(spark, folder):
+    """F2 on evidence-shaped payloads; hours that two deliveries hold are taken from the newer."""
+    return FB.air_quality_hourly(air_quality_deliveries(spark, folder)).drop("source_id", "raw_checksum")
+
+
+def news_fact_builder(spark, folder):
+    """F4 on evidence-shaped payloads: records of the first series, newest delivery wins."""
+    return FB.news_intensity(news_deliveries(spark, folder)).drop("source_id", "raw_checksum")
+
+
 def fx_fact_builder(spark, folder):
     """F3 on evidence-shaped payloads: one FX response per order (status P
     = failed response; GHS missing when orderkey % 7 = 0); RFC-2822 update
@@ -779,6 +862,9 @@ QUERIES = {
     "fx_change_series": fx_change_series,
     "city_directory": city_directory,
     "news_daily": news_daily,
+    "weather_fact_builder": weather_fact_builder,
+    "air_quality_fact_builder": air_quality_fact_builder,
+    "news_fact_builder": news_fact_builder,
     "fx_fact_builder": fx_fact_builder,
     "fx_cross_check": fx_cross_check_q,
     "indicator_records": indicator_records,

@@ -22,6 +22,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from citymarts.plans.driver_queries import QUERIES
 from citymarts.operators.delivery import flag_first_delivery
 from citymarts.operators.joins import bounded_broadcast
 from citymarts.operators.latest import dedupe_first, latest_by_key
@@ -67,7 +68,7 @@ def _formatted(df):
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_registered_plan_has_no_pairs_python_or_global_window(spark, name):
     df = E.queries()[name](spark, SF)
     logical, physical = _logical(df), _physical(df)
