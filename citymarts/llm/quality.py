@@ -209,13 +209,14 @@ def held_out(id_col: str = "doc_id"):
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE):
     """``(vectors, network)``. Word vectors use all of ``docs``; the network at
     most ``sample`` labelled rows (quality 0 or 1, not held out, the first by
-    hash of the id, one label per id). Without both labels every score is 0.5.
+    hash of the id, one label per id; of a repeated id every row). Without both labels every score is 0.5.
     """
     vectors = context_vectors(docs, text_col)
     usable = labels.where(F.col("quality").isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
     one = usable.groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.min("quality").alias("_quality"))
     drawn = F.broadcast(one.orderBy(F.xxhash64("_id"), "_id").limit(sample))
-    rows = docs.join(drawn, docs[id_col] == drawn["_id"]).select("_id", "_quality", F.col(text_col).alias("_text"))
+    plain = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    rows = plain.join(drawn, "_id").select("_id", "_quality", "_text")
     got = features(rows, vectors, ["_id", "_quality"], "_text").toArrow().sort_by("_id")
     y = got["_quality"].to_numpy().astype(float)
     if len(y) < 2 or y.min() == y.max():
@@ -225,7 +226,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def score(docs: DataFrame, vectors: np.ndarray, network: Network | None, keep: list[str], text_col: str = "text") -> DataFrame:
-    """``keep`` columns and ``score`` (0 to 1; empty and NULL texts too) per row, from the text alone."""
+    """``keep`` columns (none of them called ``score``) and ``score`` (0 to 1; empty and NULL texts too) per row, from the text alone."""
 
     at = keep.index(text_col) if text_col in keep else len(keep)
 

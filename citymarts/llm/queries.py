@@ -104,7 +104,8 @@ def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents on 24 equal shards by key, and where a 25th shard would move them."""
     docs = table(spark, sf_dir, "documents")
-    return sharding.assign_shards(docs, "doc_id", [1.0] * SHARDS, "text", 1.0).withColumn("law", F.lit("key"))
+    placed = sharding.assign_shards(docs, "doc_id", [1.0] * SHARDS, "text", 1.0)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
 def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
