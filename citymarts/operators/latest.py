@@ -47,6 +47,42 @@ def latest_by_key(
     return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in payload_cols]).select(*df.columns)
 
 
+def newest_copies(
+    df: DataFrame,
+    keys: Sequence[str] | str,
+    version: str,
+    tiebreak: Sequence[str] | str = (),
+    max_broadcast_rows: int = 1_000_000,
+) -> DataFrame:
+    """``latest_by_key`` for wide rows of which few keys repeat.
+
+    Keys alone are counted first (a hash aggregate, combined map-side: no other
+    column is read or shuffled). Without a repeated key every row with a version
+    is the newest of its key and nothing more happens. Up to
+    ``max_broadcast_rows`` repeated keys are broadcast, and only their rows are
+    shuffled to be collapsed; the others stay where they are. Beyond that bound
+    all rows go through ``latest_by_key``. The result is the same in each case.
+    """
+    keys = _as_list(keys)
+    versioned = df.where(F.col(version).isNotNull())
+    names = [f"_k{i}" for i in range(len(keys))]
+    repeated = (
+        versioned.groupBy(*(F.col(k).alias(n) for k, n in zip(keys, names))).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*names)
+    )
+    found = repeated.limit(max_broadcast_rows + 1).count()
+    if not found:
+        return versioned
+    if found > max_broadcast_rows:
+        return latest_by_key(df, keys, version, tiebreak)
+    same = None
+    for k, n in zip(keys, names):
+        one = versioned[k].eqNullSafe(repeated[n])
+        same = one if same is None else same & one
+    small = F.broadcast(repeated)
+    once = versioned.join(small, same, "left_anti")
+    return once.unionByName(latest_by_key(versioned.join(small, same, "left_semi"), keys, version, tiebreak))
+
+
 def latest_snapshot(
     df: DataFrame,
     keys: Sequence[str] | str,

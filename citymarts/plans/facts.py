@@ -17,7 +17,7 @@ from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, St
 
 from citymarts.functions.timeparse import best_effort_ts
 from citymarts.operators.geo import poi_counts
-from citymarts.operators.latest import latest_by_key
+from citymarts.operators.latest import latest_by_key, newest_copies
 from citymarts.operators.unnest import record_array_unnest, with_parsed, zip_arrays_rejects, zip_arrays_unnest
 from citymarts.schemas import (
     FACT_AIR_QUALITY_HOURLY,
@@ -57,10 +57,28 @@ OSM_COUNTS = [
 LINEAGE = ["scope_id", "checksum", "ingested_at"]
 
 
-def raw_of(raw: DataFrame, source: str) -> DataFrame:
+RAW_KEY = ["source", "scope_id", "checksum"]
+
+
+class CollapsedRaw:
+    """Raw rows of which no key has a second copy: the builders take them as they are."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+
+
+def collapse_raw(raw: DataFrame) -> CollapsedRaw:
+    """R5 for all sources at once: newest copy per (source, scope, checksum). The
+    payload of a delivery without a second copy is not shuffled."""
+    rows = raw.select(*RAW_KEY, "payload", "ingested_at", "raw_file_path")
+    return CollapsedRaw(newest_copies(rows, RAW_KEY, "ingested_at", "raw_file_path"))
+
+
+def raw_of(raw: DataFrame | CollapsedRaw, source: str) -> DataFrame:
     """One source's raw rows, newest copy per (scope, checksum)."""
-    r = raw.where(F.col("source") == source).select("scope_id", "checksum", "payload", "ingested_at", "raw_file_path")
-    return latest_by_key(r, ["scope_id", "checksum"], "ingested_at", "raw_file_path")
+    rows = raw.rows if isinstance(raw, CollapsedRaw) else raw
+    r = rows.where(F.col("source") == source).select("scope_id", "checksum", "payload", "ingested_at", "raw_file_path")
+    return r if isinstance(raw, CollapsedRaw) else latest_by_key(r, ["scope_id", "checksum"], "ingested_at", "raw_file_path")
 
 
 def _lineage(source: str):
@@ -233,7 +251,7 @@ def record_rejects(raw: DataFrame, source: str, path: str, record: StructType, b
     return none.unionByName(rows.select("scope_id", "checksum", F.lit(rule).alias("rule"), text.alias("payload")))
 
 
-def fact_rejects(raw: DataFrame) -> DataFrame:
+def fact_rejects(raw: DataFrame | CollapsedRaw) -> DataFrame:
     """What the six builders leave out: (source, scope_id, checksum, rule,
     payload). Records without a value (missing rates, NULL indicators) are
     absent, not bad; a snapshot of zeros stays in the fact and is reported."""
@@ -260,7 +278,7 @@ def fact_rejects(raw: DataFrame) -> DataFrame:
     return out
 
 
-def all_facts(raw: DataFrame) -> dict[str, DataFrame]:
+def all_facts(raw: DataFrame | CollapsedRaw) -> dict[str, DataFrame]:
     """The six facts from one raw table."""
     return {
         "fact_weather_hourly": weather_hourly(raw),

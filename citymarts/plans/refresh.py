@@ -299,7 +299,7 @@ def build_facts(spark: SparkSession, paths: Paths, as_of: str, state: RunState)
     newest version per key). Incremental mode builds fact rows from the pending
     loads only and merges them into the partitions they touch; the folders of
     other partitions stay as they are. Nothing is published yet."""
-    raw = read_raw(spark, paths, state.read, list(state.loads) if state.touched is not None else None)
+    raw = FB.collapse_raw(read_raw(spark, paths, state.read, list(state.loads) if state.touched is not None else None))
     for name, df in FB.all_facts(raw).items():
         df = df.withColumn("part", FACT_PARTITION[name]())
         if state.touched is None:

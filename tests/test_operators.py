@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import os
 import random
 
 import pandas as pd
@@ -210,3 +211,30 @@ def test_kpi_audit_reports_infinity(spark):
     df = spark.createDataFrame([(1, float("inf")), (2, float("-inf")), (3, float("nan")), (4, 1.0), (5, None)], "id int, v double")
     got = {r.id: r.problem for r in kpi_missing(df, ["id"], ["v"]).collect()}
     assert got == {1: "placeholder", 2: "placeholder", 3: "placeholder", 5: "empty"}
+
+
+@pytest.mark.parametrize("bound", [0, 3, 1000])
+def test_newest_copies_equal_latest_by_key(spark, bound):
+    from citymarts.operators.latest import latest_by_key, newest_copies
+
+    rows = [("a", 1, 5, "p"), ("a", 1, 7, "q"), ("a", 1, 7, None), ("b", 1, 2, "x"), (None, 1, 3, "n"), (None, 1, 4, None), ("c", None, 9, "y"), ("d", 1, None, "gone")]
+    rows += [("same", 2, 1, "twice")] * 2 + [(f"k{i}", i, i, "wide" * 50) for i in range(40)]
+    df = spark.createDataFrame([(*r, i if r[0] != "same" else -1) for i, r in enumerate(rows)], "k string, j int, v int, payload string, n int")
+    got = newest_copies(df, ["k", "j"], "v", "n", max_broadcast_rows=bound)
+    want = latest_by_key(df, ["k", "j"], "v", "n")
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_payload_of_single_copies_is_not_shuffled(spark, workdir):
+    from citymarts.operators.latest import newest_copies
+
+    path = os.path.join(workdir, "wide")
+    spark.range(500).selectExpr("id AS k", "id AS v", "repeat('x', 100) AS payload").write.parquet(path)
+    df = spark.read.parquet(path)
+    plan = newest_copies(df, "k", "v")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    two = df.unionByName(df.where("k < 3").selectExpr("k", "v + 1 AS v", "payload"))
+    plan = newest_copies(two, "k", "v")._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    assert newest_copies(two, "k", "v").agg(F.sum("v")).first()[0] == sum(range(500)) + 3
