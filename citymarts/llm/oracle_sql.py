@@ -1,7 +1,8 @@
 r"""DuckDB SQL for the registered queries of this folder that SQL can express.
 
 Tokenizers, trained models, XXH64, CRC-32, rendezvous hashes and vector search
-are beyond it; tests hold those queries against brute force.
+are beyond it; the operators behind those queries are tested by brute force,
+round trips and held-out accuracy.
 """
 
 _BLANK = r"\x20\x09-\x0D"
