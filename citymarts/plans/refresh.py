@@ -49,7 +49,7 @@ from citymarts.sources.dims import dim_city_seed, dim_source_seed
 from citymarts.session import ensure_checkpoint_dir
 from citymarts.sources import manifest
 from citymarts.sources.compaction import TARGET_BYTES, compact
-from citymarts.sources.sinks import append_rows, month_of, read_table
+from citymarts.sources.sinks import append_rows, month_of, read_table, write_table
 from citymarts.sources.snapshots import WRITE, Snapshot, SnapshotStore
 
 LOG = logging.getLogger(__name__)
@@ -108,6 +108,11 @@ class Paths:
     def raw(self) -> str:
         return self.store().path("raw")
 
+    @property
+    def dims(self) -> str:
+        """Folder of the current dimensions, one below it for each."""
+        return self.store().path("dims")
+
     def fact(self, name: str) -> str:
         return self.store().path(name)
 
@@ -138,6 +143,13 @@ class RunState:
         self.written.add(table)
         return self.store.stage(table, df, partition_by, sort_by, self.id)
 
+    def stage_dims(self, dims: dict[str, DataFrame]) -> None:
+        """Write the dimensions, all to one folder of this run's."""
+        self.written.add("dims")
+        for name, df in dims.items():
+            write_table(df, f"{self.store.base}/dims/{WRITE}={self.id}/{name}")
+        self.work = self.work.having("dims", [f"{WRITE}={self.id}"])
+
     def discard(self) -> None:
         """Delete what the run wrote and no snapshot holds."""
         now = self.store.current()
@@ -410,8 +422,7 @@ def build_marts(spark: SparkSession, paths: Paths, as_of: str, state: RunState)
     m_ci = None if infra_changed else _union(m_env, m_fx, t["fact_news_intensity"])
 
     dim = dim_city_seed(spark)
-    for name, df in (("dim_city", dim), ("dim_source", dim_source_seed(spark))):
-        state.work = state.work.having(name, state.stage(name, df))
+    state.stage_dims({"dim_city": dim, "dim_source": dim_source_seed(spark)})
 
     if m_env is None or m_env:
         env = M.environment_daily(
@@ -462,7 +473,7 @@ def publish_run(state: RunState) -> Snapshot:
     Exactly the loads that the facts were made from are done: one that arrived
     meanwhile stays pending. Fails with ``Conflict``, and publishes nothing, if
     another run published any of these tables since this one began."""
-    tables = [*FACT_SCHEMAS, *MARTS, "dim_city", "dim_source"]
+    tables = [*FACT_SCHEMAS, *MARTS, "dims"]
     made = state.store.publish(state.read, {t: state.work.folders(t) for t in tables}, done=state.loads)
     try:
         state.discard()  # deltas
@@ -474,8 +485,8 @@ def publish_run(state: RunState) -> Snapshot:
 
 def quality_gates(spark: SparkSession, paths: Paths) -> DataFrame:
     """Q1-Q5 over dims, facts and marts (one aggregate pass per table)."""
-    store = paths.store(spark)
-    dim, src = store.read("dim_city", DIM_CITY), store.read("dim_source", DIM_SOURCE)
+    dims = paths.dims
+    dim, src = spark.read.schema(DIM_CITY).parquet(f"{dims}/dim_city"), spark.read.schema(DIM_SOURCE).parquet(f"{dims}/dim_source")
     checks = [
         (dim, [MinRows("min_cities", 4), Rule("city_id_missing", F.col("city_id").isNull() | (F.col("city_id") == ""))], "dim_city"),
         (key_repeats(dim, ["city_id"]), [Rule("city_id_repeated", F.col("repeats") > 1)], "dim_city"),
