@@ -29,9 +29,9 @@ WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_TRIM_THRESHOLD_"
 HEAP_KEPT, HEAP_ARRAYS = 16 << 20, 1 << 20
 
 
-def roomy_heap(run):
-    """``run`` (a map over Arrow batches) with a heap that keeps ``HEAP_KEPT``
-    bytes for arrays up to ``HEAP_ARRAYS`` while it lasts; without glibc nothing changes."""
+def roomy_heap(run, kept: int = HEAP_KEPT, arrays: int = HEAP_ARRAYS):
+    """``run`` (a map over Arrow batches) with a heap that keeps ``kept`` bytes
+    for arrays up to ``arrays`` bytes while it lasts; without glibc nothing changes."""
 
     def wrapped(batches):
         libc = ctypes.CDLL(None)
@@ -39,8 +39,8 @@ def roomy_heap(run):
             yield from run(batches)
             return
         trim, mmap = -1, -3  # M_TRIM_THRESHOLD, M_MMAP_THRESHOLD
-        libc.mallopt(trim, HEAP_KEPT)
-        libc.mallopt(mmap, HEAP_ARRAYS)
+        libc.mallopt(trim, kept)
+        libc.mallopt(mmap, arrays)
         try:
             yield from run(batches)
         finally:

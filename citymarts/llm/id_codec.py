@@ -11,7 +11,7 @@ guess", "order-1 guess" and "neither", and "neither" is split by adaptive
 order-0 frequencies. The mixed interval drives one step of a carry-less range
 coder per lane. The decoder repeats the same updates from the decoded ids.
 
-Block: ``IDB1``, u32 length of the zlib-packed header, header, lane words
+Block: ``IDB2``, u32 length of the zlib-packed header, header, lane words
 (u16), u32 crc32 of all before it. Little-endian throughout.
 """
 
@@ -22,32 +22,54 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"IDB1"
+MAGIC = b"IDB2"
 LANES = 8192
 #: Ids in a lane at least, where the block has enough.
 LANE_IDS = 128
-MAX_ID = 65535
+MAX_ID = (1 << 32) - 1
 
 _MIX_BITS, _FREQ_BITS = 12, 17
-_MIX, _FREQ = 1 << _MIX_BITS, 1 << _FREQ_BITS
-_TOTAL_BITS = np.uint64(_MIX_BITS + _FREQ_BITS)
+_MIX = 1 << _MIX_BITS
 _TOP, _BOT = np.uint64(1 << 48), np.uint64(1 << 40)
-_U16, _U48 = np.uint64(16), np.uint64(48)
+_U16, _U32, _U48, _LOW32 = np.uint64(16), np.uint64(32), np.uint64(48), np.uint64((1 << 32) - 1)
 _ORDER2_BITS = 18
+#: A table entry is a symbol above its confidence, 0 to _SURE. A joint state is the confidences of
+#: order 2 and order 1 and whether they agree; an outcome is a state and which of the guesses were right.
+_SURE_BITS, _SURE = 3, 7
+_STATES = (_SURE + 1) ** 2 * 2
+_OUTCOMES = _STATES * 4
+
+
+def _learning(order: int) -> tuple[np.ndarray, np.ndarray]:
+    """By outcome: what an entry of this order's table gains, and whether it keeps its symbol."""
+    outcome = np.arange(_OUTCOMES)
+    sure = outcome >> (6 if order == 2 else 3) & _SURE
+    hit = (outcome >> (0 if order == 2 else 1) & 1).astype(bool)
+    gain = np.where(hit, np.minimum(sure + 1, _SURE), sure >> 1) - sure
+    return gain.astype(np.int64).astype(np.uint32), hit | (sure >= 2)
+
+
+_GAIN1, _KEEP1 = _learning(1)
+_GAIN2, _KEEP2 = _learning(2)
 
 
 class Model:
     """Order-0 to order-2 predictions over dense symbols below ``size``, one set for all lanes."""
 
-    def __init__(self, size: int, lanes: int):
-        self.size, self.lanes = size, lanes
+    def __init__(self, size: int, lanes: int, decoding: bool):
+        self.size, self.decoding = size, decoding
+        # every symbol needs a share of the order-0 frequencies
+        self.freq_bits = max(_FREQ_BITS, size.bit_length() + 1)
+        self.bits = np.uint64(self.freq_bits)
+        self.total_bits = np.uint64(self.freq_bits + _MIX_BITS)
         self.t1 = np.zeros(size + 1, np.uint32)
         self.t2 = np.zeros(1 << _ORDER2_BITS, np.uint32)
-        self.p1 = np.full(lanes, size, np.int64)
-        self.p2 = np.full(lanes, size, np.int64)
-        self.seen = np.ones(128 * 3, np.int64)
+        self.p1 = np.full(lanes, size, np.uint32)
+        self.p2 = np.full(lanes, size, np.uint32)
+        self.seen = np.zeros(_OUTCOMES, np.int64)
         self.count = np.zeros(size, np.int64)
         self.recent: list[np.ndarray] = []
+        self.outcomes: list[np.ndarray] = []
         self.step = 0
         self._order0()
         self._shares()
@@ -56,52 +78,78 @@ class Model:
         if self.recent:
             self.count += np.bincount(np.concatenate(self.recent), minlength=self.size)
             self.recent = []
-        total = max(1, int(self.count.sum()))
-        freq = 1 + self.count * (_FREQ - self.size) // total
-        freq[int(np.argmax(freq))] += _FREQ - int(freq.sum())
-        self.freq = freq.astype(np.uint64)
-        self.cum = (np.cumsum(freq) - freq).astype(np.uint64)
-        self.find = np.repeat(np.arange(self.size, dtype=np.uint32), freq)
+        whole, total = 1 << self.freq_bits, max(1, int(self.count.sum()))
+        freq = 1 + self.count * (whole - self.size) // total
+        freq[int(np.argmax(freq))] += whole - int(freq.sum())
+        # start and size of each symbol's share, in one number
+        self.order0 = ((np.cumsum(freq) - freq) << 32 | freq).astype(np.uint64)
+        if self.decoding:
+            self.find = np.repeat(np.arange(self.size, dtype=np.uint32), freq)
 
     def _shares(self) -> None:
-        n = self.seen.reshape(-1, 3).copy()
+        if self.outcomes:
+            self.seen += np.bincount(np.concatenate(self.outcomes), minlength=_OUTCOMES)
+            self.outcomes = []
+        by = self.seen.reshape(_STATES, 4)
+        n = 1 + np.stack([by[:, 1] + by[:, 3], by[:, 2], by[:, 0]], axis=1)
         n[1::2, 1] = 0  # both guesses agree: the order-1 share is empty
         total = n.sum(axis=1)
-        first = 1 + n[:, 0] * (_MIX - 3) // total
-        second = np.where(n[:, 1] > 0, 1 + n[:, 1] * (_MIX - 3) // total, 0)
-        self.share2 = first.astype(np.uint64)
-        self.share12 = (first + second).astype(np.uint64)
+        share2 = 1 + n[:, 0] * (_MIX - 3) // total
+        share1 = np.where(n[:, 1] > 0, 1 + n[:, 1] * (_MIX - 3) // total, 0)
+        rest, none = _MIX - share2 - share1, np.zeros(_STATES, np.int64)
+        self.share2, self.share12 = share2.astype(np.uint64), (share2 + share1).astype(np.uint64)
+        # by outcome: neither guess right, order 2 right, order 1 alone right, both right
+        self.width = np.stack([rest, share2, share1, share2], axis=1).reshape(-1).astype(np.uint64)
+        self.start = np.stack([share2 + share1, none, share2, none], axis=1).reshape(-1).astype(np.uint64) << self.bits
 
     def guess(self):
-        """Guesses of order 1 and 2, their joint state and the bounds of their shares."""
-        self.h2 = (self.p2 * 40503 + self.p1 * 2654435761) >> 5 & ((1 << _ORDER2_BITS) - 1)
-        self.e1, self.e2 = self.t1[self.p1], self.t2[self.h2]
-        c1, c2 = self.e1 & 0xFFFF, self.e2 & 0xFFFF
-        self.state = ((self.e2 >> 16) * 8 + (self.e1 >> 16)) * 2 + (c1 == c2)
-        return c1, c2, self.share2[self.state], self.share12[self.state]
-
-    @staticmethod
-    def _learn(table, at, entry, guess, x):
-        sure = entry >> 16
-        missed = np.where(sure >= 2, guess | (sure >> 1) << 16, x)
-        table[at] = np.where(guess == x, guess | np.minimum(sure + 1, 7) << 16, missed)
-
-    def update(self, x, c1, c2, source) -> None:
-        self._learn(self.t1, self.p1, self.e1, c1, x)
-        self._learn(self.t2, self.h2, self.e2, c2, x)
-        self.seen += np.bincount(self.state * 3 + source, minlength=384)
-        self.p2, self.p1 = self.p1, x.astype(np.int64)
+        """Guesses of order 1 and 2; their joint state is kept."""
+        mixed = self.p2 * np.uint32(2246822507) ^ self.p1 * np.uint32(2654435761)
+        self.at1, self.at2 = self.p1.astype(np.intp), (mixed >> np.uint32(32 - _ORDER2_BITS)).astype(np.intp)
+        self.e1, self.e2 = self.t1.take(self.at1), self.t2.take(self.at2)
+        c1, c2 = self.e1 >> np.uint32(_SURE_BITS), self.e2 >> np.uint32(_SURE_BITS)
+        low = np.uint32(_SURE)
+        self.state = ((self.e2 & low) << np.uint32(4) | (self.e1 & low) << np.uint32(1) | (c1 == c2)).astype(np.intp)
+        return c1, c2
+
+    def interval(self, x, c1, c2):
+        """Start and size of the interval of ``x`` in the mixed prediction."""
+        self.outcome = self.state << 2 | (c1 == x) * 2 | (c2 == x)
+        start, size = self.start.take(self.outcome), self.width.take(self.outcome)
+        escape = np.flatnonzero((self.outcome & 3) == 0)
+        share, rest = self.order0.take(x.take(escape)), size.take(escape)
+        start[escape] += (share >> _U32) * rest
+        size <<= self.bits
+        size[escape] = (share & _LOW32) * rest
+        return start, size
+
+    def update(self, x) -> None:
+        new, out = x << np.uint32(_SURE_BITS), self.outcome
+        self.t1[self.at1] = np.where(_KEEP1.take(out), self.e1 + _GAIN1.take(out), new)
+        self.t2[self.at2] = np.where(_KEEP2.take(out), self.e2 + _GAIN2.take(out), new)
+        self.p2, self.p1 = self.p1, x
         self.recent.append(x)
+        self.outcomes.append(out)
         self.step += 1
         if self.step % 32 == 0 or self.step & (self.step - 1) == 0:
             self._order0()
             self._shares()
 
 
-def _carry(low, span):
-    """Lanes whose top 16 bits are settled, or whose span is too small to go on."""
+def _unsettled(low, span):
+    """Lanes that must move a word on, because their top 16 bits are settled or their
+    span is too small, and which of those are settled."""
     settled = (low ^ (low + span - np.uint64(1))) < _TOP
-    return settled, np.flatnonzero(settled | (span < _BOT))
+    at = np.flatnonzero(settled | (span < _BOT))
+    return at, settled[at]
+
+
+def _shift(part, wide, settled):
+    """Low ends and spans of lanes that move a word on."""
+    if not settled.all():
+        cut = np.flatnonzero(~settled)
+        wide[cut] = (np.uint64(0) - part[cut]) & (_BOT - np.uint64(1))
+    return part << _U16, wide << _U16
 
 
 def encode_block(ids: np.ndarray, lengths: np.ndarray, keys: np.ndarray) -> bytes:
@@ -109,44 +157,37 @@ def encode_block(ids: np.ndarray, lengths: np.ndarray, keys: np.ndarray) -> byte
     n = len(ids)
     if n and (ids.max() > MAX_ID or ids.min() < 0):
         raise ValueError(f"ids must lie in 0..{MAX_ID}")
-    used = np.bincount(ids, minlength=1) > 0
-    alphabet, dense = np.flatnonzero(used), (np.cumsum(used) - 1).astype(np.uint32)
+    if n and ids.max() < 1 << 20:
+        used = np.bincount(ids) > 0
+        alphabet, place = np.flatnonzero(used), (np.cumsum(used) - 1).astype(np.uint32)
+        dense = place[ids]
+    else:
+        alphabet, dense = np.unique(ids, return_inverse=True)
     lanes = max(1, min(LANES, n // LANE_IDS))
     steps = -(-n // lanes)
     grid = np.zeros(lanes * steps, np.uint32)
-    grid[:n] = dense[ids]
+    grid[:n] = dense
     columns = np.ascontiguousarray(grid.reshape(lanes, steps).T)
-    del grid
+    del grid, dense
     out_lane, out_word = [], []
     if n:
-        model = Model(len(alphabet), lanes)
+        model = Model(len(alphabet), lanes, False)
         low, span = np.zeros(lanes, np.uint64), np.full(lanes, 1 << 63, np.uint64)
         for x in columns:
-            c1, c2, w2, w12 = model.guess()
-            is2 = c2 == x
-            source = np.where(is2, 0, np.where(c1 == x, 1, 2))
-            rest = np.uint64(_MIX) - w12
-            escape = source == 2
-            cum = np.where(escape, (w12 << np.uint64(_FREQ_BITS)) + model.cum[x] * rest, np.where(is2, np.uint64(0), w2 << np.uint64(_FREQ_BITS)))
-            freq = np.where(escape, model.freq[x] * rest, np.where(is2, w2, w12 - w2) << np.uint64(_FREQ_BITS))
-            unit = span >> _TOTAL_BITS
-            low += unit * cum
-            span = unit * freq
-            settled, at = _carry(low, span)
+            start, size = model.interval(x, *model.guess())
+            unit = span >> model.total_bits
+            low += unit * start
+            span = unit * size
+            at, settled = _unsettled(low, span)
             while len(at):
-                part, wide, fixed = low[at], span[at], settled[at]
-                wide = np.where(fixed, wide, (np.uint64(0) - part) & (_BOT - np.uint64(1)))
+                part = low[at]
                 out_lane.append(at.astype(np.uint16))
                 out_word.append((part >> _U48).astype(np.uint16))
-                low[at] = part << _U16
-                span[at] = wide << _U16
-                settled, more = _carry(low[at], span[at])
-                low_at = at
+                part, wide = _shift(part, span[at], settled)
+                low[at], span[at] = part, wide
+                more, settled = _unsettled(part, wide)
                 at = at[more]
-                full = np.zeros(lanes, bool)
-                full[low_at] = settled
-                settled = full
-            model.update(x, c1, c2, source)
+            model.update(x)
         last = (low + (_BOT - np.uint64(1))) >> np.uint64(40)
         for shift in (8, 0):
             out_lane.append(np.arange(lanes, dtype=np.uint16))
@@ -155,7 +196,7 @@ def encode_block(ids: np.ndarray, lengths: np.ndarray, keys: np.ndarray) -> byte
     lane = np.concatenate(out_lane) if n else np.zeros(0, np.uint16)
     words = (np.concatenate(out_word) if n else np.zeros(0, np.uint16))[np.argsort(lane, kind="stable")]
     per_lane = np.bincount(lane, minlength=lanes).astype("<u4")
-    gaps = np.diff(alphabet, prepend=0).astype("<u4")
+    gaps = np.diff(alphabet.astype(np.int64), prepend=0).astype("<u4")
     head = struct.pack("<IQII", len(keys), n, lanes, len(alphabet))
     head += keys.astype("<i8").tobytes() + lengths.astype("<i8").tobytes() + gaps.tobytes() + per_lane.tobytes()
     head = zlib.compress(head, 6)
@@ -193,37 +234,31 @@ def decode_block(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for _ in range(4):
         code = code << _U16 | take(everyone)
     steps = -(-n // lanes)
-    model = Model(letters, lanes)
+    model = Model(letters, lanes, True)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, 1 << 63, np.uint64)
     out = np.empty((steps, lanes), np.uint32)
+    highest = np.uint64((1 << int(model.total_bits)) - 1)
     for step in range(steps):
-        c1, c2, w2, w12 = model.guess()
-        unit = span >> _TOTAL_BITS
-        value = np.minimum((code - low) // unit, np.uint64((1 << (_MIX_BITS + _FREQ_BITS)) - 1))
-        slot = value >> np.uint64(_FREQ_BITS)
-        is2, escape = slot < w2, slot >= w12
-        rest = np.uint64(_MIX) - w12
-        inner = (value - (w12 << np.uint64(_FREQ_BITS))) // rest
-        drawn = model.find[np.where(escape, inner, np.uint64(0)).astype(np.int64)]
-        x = np.where(escape, drawn, np.where(is2, c2, c1)).astype(np.uint32)
-        source = np.where(is2, 0, np.where(escape, 2, 1))
-        cum = np.where(escape, (w12 << np.uint64(_FREQ_BITS)) + model.cum[x] * rest, np.where(is2, np.uint64(0), w2 << np.uint64(_FREQ_BITS)))
-        freq = np.where(escape, model.freq[x] * rest, np.where(is2, w2, w12 - w2) << np.uint64(_FREQ_BITS))
-        low += unit * cum
-        span = unit * freq
-        settled, at = _carry(low, span)
+        c1, c2 = model.guess()
+        unit = span >> model.total_bits
+        value = np.minimum((code - low) // unit, highest)
+        slot = value >> model.bits
+        share12 = model.share12.take(model.state)
+        x = np.where(slot < model.share2.take(model.state), c2, c1)
+        escape = np.flatnonzero(slot >= share12)
+        above = share12.take(escape)
+        x[escape] = model.find.take(((value.take(escape) - (above << model.bits)) // (np.uint64(_MIX) - above)).astype(np.intp))
+        start, size = model.interval(x, c1, c2)
+        low += unit * start
+        span = unit * size
+        at, settled = _unsettled(low, span)
         while len(at):
-            part, wide, fixed = low[at], span[at], settled[at]
-            wide = np.where(fixed, wide, (np.uint64(0) - part) & (_BOT - np.uint64(1)))
-            low[at] = part << _U16
-            span[at] = wide << _U16
+            part, wide = _shift(low[at], span[at], settled)
+            low[at], span[at] = part, wide
             code[at] = code[at] << _U16 | take(at)
-            settled_at, more = _carry(low[at], span[at])
-            full = np.zeros(lanes, bool)
-            full[at] = settled_at
-            settled = full
+            more, settled = _unsettled(part, wide)
             at = at[more]
-        model.update(x, c1, c2, source)
+        model.update(x)
         out[step] = x
     flat = np.ascontiguousarray(out.T).reshape(-1)[:n]
     return alphabet[flat], lengths, keys

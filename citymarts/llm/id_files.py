@@ -25,6 +25,8 @@ from citymarts.llm.tokens import tokenizer
 BLOCK_IDS = 1 << 20
 #: Bytes of text tokenized at a time.
 TEXT_BYTES = 8_000_000
+#: A task's arrays are about the size of a block or of its text: so much heap stays with it while it runs.
+HEAP_KEPT, HEAP_ARRAYS = 48 << 20, 24 << 20
 END_ID = 0
 #: Stands for a NULL key in a block.
 NO_KEY = -(1 << 63)
@@ -72,7 +74,7 @@ def write_ids(
 
     docs = df.select(F.col(id_col).cast("long").alias("_key"), F.col(text_col).cast("string").alias("_text"))
     docs = row_key(docs, "_key", "_text").repartitionByRange("_rid").sortWithinPartitions("_rid")
-    docs.select("_key", "_text").mapInArrow(roomy_heap(run), FORMAT).write.parquet(folder)
+    docs.select("_key", "_text").mapInArrow(roomy_heap(run, HEAP_KEPT, HEAP_ARRAYS), FORMAT).write.parquet(folder)
 
 
 def read_ids(spark: SparkSession, folder: str, id_col: str = "doc_id") -> DataFrame:
@@ -101,4 +103,4 @@ def read_ids(spark: SparkSession, folder: str, id_col: str = "doc_id") -> DataFr
                         [pa.array(keys[k], mask=keys[k] == NO_KEY), pa.array(starts[k] + (base[p] + s)), pa.array(own, pa.binary())], names=[id_col, "start", "ids"]
                     )
 
-    return blocks.join(shift, ["part", "block"]).select("part", "before", "data").mapInArrow(roomy_heap(run), f"`{id_col}` long, start long, ids binary")
+    return blocks.join(shift, ["part", "block"]).select("part", "before", "data").mapInArrow(roomy_heap(run, HEAP_KEPT, HEAP_ARRAYS), f"`{id_col}` long, start long, ids binary")

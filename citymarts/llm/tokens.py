@@ -201,12 +201,13 @@ class ChunkTokenizer:
     def _chunks(self, batch: list[str]) -> tuple[pa.Array, np.ndarray, list[int]]:
         """Chunks of all texts in one array, the offsets of each text's chunks, and
         the texts in the order in which they come there."""
-        odd = [] if self.words else [i for i, t in enumerate(batch) if t[:1] == " " or _UNSAFE.search(t)]
-        strange = set(odd)
-        even = [i for i in range(len(batch)) if i not in strange]
-        col = pa.array([batch[i] for i in even], pa.large_string())
+        col, odd, even = pa.array(batch, pa.large_string()), [], list(range(len(batch)))
         if self.words:  # white space is dropped
             col = pc.replace_substring(col, "\n", " ")
+        else:
+            strange = pc.or_(pc.starts_with(col, " "), pc.match_substring_regex(col, _UNSAFE.pattern)).to_numpy(zero_copy_only=False)
+            odd, even = np.flatnonzero(strange).tolist(), np.flatnonzero(~strange).tolist()
+            col = col.take(pa.array(even, pa.int64()))
         lists = pc.split_pattern(col, " ")
         cut = [space_chunks(batch[i]) for i in odd]
         flat = pa.concat_arrays([lists.flatten(), pa.array([c for first, more in cut for c in (first, *more)], pa.large_string())])

@@ -327,6 +327,13 @@ def test_lattice_recall_at_the_threshold():
     assert ((a[:, :, :1] == b).any(axis=2) | (b[:, :, :1] == a).any(axis=2)).any(axis=1).mean() >= 0.97
 
 
+def test_codec_takes_any_32_bit_id():
+    rng = np.random.default_rng(12)
+    for ids in (rng.integers(0, 1 << 32, 70_000, dtype=np.uint32), rng.integers(100_000, 300_000, 5000).astype(np.uint32), np.full(3, (1 << 32) - 1, np.uint32)):
+        got, lengths, keys = id_codec.decode_block(id_codec.encode_block(ids, np.array([len(ids)]), np.array([4])))
+        assert (got == ids).all() and lengths.tolist() == [len(ids)] and keys.tolist() == [4]
+
+
 def test_cross_polytope_recall_and_scores(spark, vectors):
     rng = np.random.default_rng(6)
     x = rng.normal(size=(1500, 64)) * rng.uniform(0.5, 1, (1500, 1))
