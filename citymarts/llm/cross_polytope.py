@@ -10,7 +10,7 @@ Inner product search is made a search of nearest directions: rows are scaled
 by the largest norm and get one more coordinate that fills them up to length
 one, queries get a zero there. For that coordinate not to drown the direction
 of short rows, rows are split into norm bands with a scale, index and probes
-of their own; a band of few rows is ranked whole.
+of their own, however few rows they hold.
 """
 
 from __future__ import annotations
@@ -27,14 +27,12 @@ from citymarts.llm.common import prepare, save
 from citymarts.llm.vectors import by_length, keyed, lists, matrix
 
 TABLES = 8
-PROBES = 36
+PROBES = 40
 #: Rows of a cell that one task ranks at once; larger cells are cut into parts.
 PART = 4096
 #: Norms of one band differ by this factor at most; they are counted on a grid of so many steps per doubling.
-BAND_RATIO = 2.0
+BAND_RATIO = 2 ** 0.25
 GRID = 16
-#: Bands of up to so many rows are ranked whole, without an index.
-WHOLE_BAND = 1024
 #: Scores within this of the k-th may be its equals: they are compared exactly.
 MARGIN = 1e-9
 
@@ -110,16 +108,13 @@ def log_norms(x: np.ndarray) -> np.ndarray:
     return np.log2(top) + 0.5 * np.log2(((x / top[:, None]) ** 2).sum(axis=1))
 
 
-def norm_bands(grid: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Upper ends (binary logarithms, falling) and row counts of the norm bands
-    of ``grid``, which has the number of rows with a norm in each grid step."""
-    wide, tops, counts = round(GRID * np.log2(BAND_RATIO)), [], []
-    for step in sorted(grid, reverse=True):
+def norm_bands(steps) -> np.ndarray:
+    """Upper ends (binary logarithms, falling) of the norm bands of the occupied grid ``steps``."""
+    wide, tops = round(GRID * np.log2(BAND_RATIO)), []
+    for step in sorted(steps, reverse=True):
         if not tops or tops[-1] - step >= wide:
             tops.append(step)
-            counts.append(0)
-        counts[-1] += grid[step]
-    return (np.array(tops) + 1) / GRID, np.array(counts)
+    return (np.array(tops) + 1) / GRID
 
 
 def nearest_vectors(
@@ -154,7 +149,7 @@ def nearest_vectors(
         for b in batches:
             for at, x in by_length(b.column(1)):
                 d = x.shape[1]
-                ends, sizes = bands[d]
+                ends = bands[d]
                 long = log_norms(x)
                 band = (np.searchsorted(-ends, -long, side="right") - 1).clip(0)
                 for own in np.unique(band):
@@ -162,13 +157,10 @@ def nearest_vectors(
                     for i in range(0, len(some), 2000):
                         row = some[i : i + 2000]
                         part, take = x[row], pa.array(at[row])
-                        if sizes[own] <= WHOLE_BAND:
-                            cells = np.zeros((len(part), 1), np.int64)
-                        else:
-                            top = np.abs(part).max(axis=1)
-                            unit = part / top[:, None] * np.exp2(np.log2(top) - ends[own])[:, None]
-                            fill = np.sqrt(np.maximum(0, 1 - (unit * unit).sum(axis=1)))
-                            cells = made[d].cells(np.hstack([unit, fill[:, None]]))
+                        top = np.abs(part).max(axis=1)
+                        unit = part / top[:, None] * np.exp2(np.log2(top) - ends[own])[:, None]
+                        fill = np.sqrt(np.maximum(0, 1 - (unit * unit).sum(axis=1)))
+                        cells = made[d].cells(np.hstack([unit, fill[:, None]]))
                         of = [pa.array(np.full(len(part), z, np.int32)) for z in (d, own)]
                         yield pa.RecordBatch.from_arrays([b.column(0).take(take), lists(part), *of, lists(cells)], names=["rid", "v", "d", "band", "cells"])
 
@@ -190,21 +182,19 @@ def nearest_vectors(
         for b in batches:
             for at, x in by_length(b.column(1)):
                 d = x.shape[1]
-                whole = [band * tables for band, n in enumerate(bands[d][1]) if n <= WHOLE_BAND]
-                cut = [band * tables for band, n in enumerate(bands[d][1]) if n > WHOLE_BAND]
+                firsts = [band * tables for band in range(len(bands[d]))]
                 for i in range(0, len(x), 64):
                     q, own = x[i : i + 64], b.column(0).take(pa.array(at[i : i + 64])).to_numpy()
                     unit = q / np.abs(q).max(axis=1, keepdims=True)
                     unit = np.hstack([unit / np.linalg.norm(unit, axis=1, keepdims=True), np.zeros((len(q), 1))])
                     look = [
                         (r, first + t, c, p)
-                        for r, per in enumerate(made[d].probes(unit, probes).tolist() if cut else [])
+                        for r, per in enumerate(made[d].probes(unit, probes).tolist())
                         for t, cells in enumerate(per)
                         for c in cells
-                        for first in cut
+                        for first in firsts
                         for p in range(parts.get((d, first + t, c), 0))
                     ]
-                    look += [(r, first, 0, p) for r in range(len(q)) for first in whole for p in range(parts.get((d, first, 0), 0))]
                     if look:
                         r, t, c, p = (np.array(z) for z in zip(*look))
                         cols = [np.full(len(r), d, np.int32), t.astype(np.int32), c, p.astype(np.int32), np.ones(len(r), np.int32), own[r]]

@@ -353,9 +353,8 @@ def test_cross_polytope_recall_and_scores(spark, vectors):
 
 
 @pytest.mark.parametrize("norms", ["outlier", "lognormal"])
-def test_cross_polytope_recall_under_skewed_norms(spark, monkeypatch, norms):
+def test_cross_polytope_recall_under_skewed_norms(spark, norms):
     prepare(spark)
-    monkeypatch.setattr(cross_polytope, "WHOLE_BAND", 64, raising=False)
     rng = np.random.default_rng(8)
     x = rng.normal(size=(3000, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
@@ -373,9 +372,32 @@ def test_cross_polytope_recall_under_skewed_norms(spark, monkeypatch, norms):
     assert sum(hits) / (100 * 20) >= 0.9
 
 
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_ann_query_recall_on_whole_tables(spark, sf):
+    """The registered query against all inner products; small tables take the index as well."""
+    from citymarts.llm.queries import op4_cross_polytope_ann
+
+    got = {}
+    for r in op4_cross_polytope_ann(spark, f"/root/testdata/sf{sf}").collect():
+        got.setdefault(r.query_id, {})[r.vec_id] = r.score
+    rows = spark.read.parquet(f"/root/testdata/sf{sf}/embeddings.parquet").select("vec_id", "embedding").collect()
+    rows = [(r.vec_id, r.embedding) for r in rows if r.embedding and all(c is not None and math.isfinite(c) for c in r.embedding) and any(r.embedding)]
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows], float)
+    queries = np.flatnonzero(ids % 20 == 0)
+    assert set(got) == set(ids[queries].tolist())
+    hits = 0
+    for q in queries:
+        score = x @ x[q]
+        score[q] = -np.inf
+        best = set(ids[np.lexsort((ids, -score))[:20]].tolist())
+        own = got[int(ids[q])]
+        assert len(own) == min(20, len(ids) - 1) and all(abs(s - x[np.flatnonzero(ids == v)[0]] @ x[q]) < 1e-9 for v, s in own.items())
+        hits += len(best & set(own))
+    assert hits >= 0.9 * 20 * len(queries)
+
+
 def test_cross_polytope_always_returns_all_candidates_there_are(spark, monkeypatch):
     prepare(spark)
-    monkeypatch.setattr(cross_polytope, "WHOLE_BAND", 0, raising=False)
     monkeypatch.setattr(cross_polytope, "PART", 8)
     x = np.random.default_rng(9).normal(size=(35, 64))
     x = [v / np.linalg.norm(v) for v in x[:21]] + [v[:5] for v in x[21:]]
