@@ -28,14 +28,31 @@ BUCKETS = 1 << 14
 #: Languages whose trigrams a task counts before it passes them on, and cells of documents x languages scored at once.
 HELD_LANGUAGES = 64
 HELD_SCORES = 1 << 20
-#: Two-letter codes of languages (ISO 639-1, with withdrawn ones); of three letters, all but those for no one language.
+#: Two-letter codes of languages (ISO 639-1, with withdrawn ones).
 TWO_LETTERS = (
     "aa ab ae af ak am an ar as av ay az ba be bg bh bi bm bn bo br bs ca ce ch co cr cs cu cv cy da de dv dz ee el en eo es et eu fa ff fi fj fo fr "
     "fy ga gd gl gn gu gv ha he hi ho hr ht hu hy hz ia id ie ig ii ik in io is it iu iw ja ji jv jw ka kg ki kj kk kl km kn ko kr ks ku kv kw ky la "
     "lb lg li ln lo lt lu lv mg mh mi mk ml mn mo mr ms mt my na nb nd ne ng nl nn no nr nv ny oc oj om or os pa pi pl ps pt qu rm rn ro ru rw sa sc "
     "sd se sg sh si sk sl sm sn so sq sr ss st su sv sw ta te tg th ti tk tl tn to tr ts tt tw ty ug uk ur uz ve vi vo wa wo xh yi yo za zh zu"
 ).split()
-NO_LANGUAGE = "^(mis|mul|und|zxx|q[a-t][a-z])$"
+#: Three-letter codes (ISO 639-2 and 639-3) of languages that have no two-letter code and are common in web corpora.
+THREE_LETTERS = (
+    "ace ang arc arz ast awa azb bar bcl bho bjn bpy bug bxr cdo ceb chr ckb cmn csb diq dsb eml ext fil frr fur gag glk gom gsw hak haw hif hil "
+    "hsb ilo jbo kaa kab kbd koi krc ksh lad lez lij lmo lrc ltg mai map mdf mhr min mrj mwl myv mzn nah nan nap nds new nov nso pag pam pap pcd "
+    "pfl pms pnb rue sah scn sco sat shn szl tet tpi tum tyv udm vec vep vls vro war wuu xal xmf yue zea"
+).split()
+#: Three-letter codes that mean the same as a two-letter one.
+SAME = dict(
+    pair.split("=")
+    for pair in (
+        "afr=af alb=sq ara=ar arm=hy aze=az baq=eu bel=be ben=bn bos=bs bul=bg bur=my cat=ca ces=cs chi=zh cym=cy cze=cs dan=da deu=de dut=nl ell=el "
+        "eng=en est=et eus=eu fas=fa fin=fi fra=fr fre=fr geo=ka ger=de gle=ga glg=gl gre=el guj=gu heb=he hin=hi hrv=hr hun=hu hye=hy ice=is ind=id "
+        "isl=is ita=it jpn=ja kan=kn kat=ka kaz=kk khm=km kor=ko lao=lo lat=la lav=lv lit=lt ltz=lb mac=mk mal=ml mar=mr may=ms mkd=mk mon=mn msa=ms "
+        "mya=my nep=ne nld=nl nno=nn nob=nb nor=no pan=pa per=fa pol=pl por=pt ron=ro rum=ro rus=ru sin=si slk=sk slo=sk slv=sl som=so spa=es sqi=sq "
+        "srp=sr swa=sw swe=sv tam=ta tel=te tgl=tl tha=th tur=tr ukr=uk urd=ur uzb=uz vie=vi wel=cy zho=zh zul=zu"
+    ).split()
+)
+LANGUAGES = TWO_LETTERS + THREE_LETTERS
 #: Weight, in rows, of the level above when shares are smoothed.
 SMOOTHING = 20.0
 RELIABILITY = 0.9
@@ -104,14 +121,18 @@ class Evidence:
         return out
 
 
-def evidence_rows(df: DataFrame, text: Column, declared: Column, host: Column | None, suffix: Column | None, keep: list[str]) -> DataFrame:
-    """``keep`` and ``_text``, ``_declared`` (lower-case primary subtag, NULL if no code of a language), ``_host``, ``_suffix``."""
+def evidence_rows(
+    df: DataFrame, text: Column, declared: Column, host: Column | None, suffix: Column | None, keep: list[str], languages: list[str] = LANGUAGES
+) -> DataFrame:
+    """``keep`` and ``_text``, ``_declared`` (lower-case primary subtag, shortened by ``SAME``, NULL if not in ``languages``), ``_host``, ``_suffix``."""
     tag = F.lower(F.regexp_extract(F.trim(declared.cast("string")), "^([A-Za-z]{2,3})(?:[-_].*)?$", 1))
+    same = F.create_map(*(F.lit(z) for pair in SAME.items() for z in pair))
+    tag = F.coalesce(same[tag], tag)
     none = F.lit(None).cast("string")
     return df.select(
         *keep,
         text.cast("string").alias("_text"),
-        F.when(tag.isin(TWO_LETTERS) | (F.length(tag) == 3) & ~tag.rlike(NO_LANGUAGE), tag).alias("_declared"),
+        F.when(tag.isin(languages), tag).alias("_declared"),
         (none if host is None else F.lower(host)).alias("_host"),
         (none if suffix is None else F.lower(suffix)).alias("_suffix"),
     )
@@ -180,7 +201,7 @@ def listed(values, kind: str = "string") -> Column:
 
 def identify(
     df: DataFrame, keep: list[str], text: Column, declared: Column, host: Column | None = None, suffix: Column | None = None,
-    min_confidence: float = MIN_CONFIDENCE,
+    min_confidence: float = MIN_CONFIDENCE, languages: list[str] = LANGUAGES,
 ) -> DataFrame:
     """``keep`` columns with ``language``, ``confidence`` (its posterior) and ``kept``.
 
@@ -188,12 +209,15 @@ def identify(
     which case its language is NULL, or if no language reaches
     ``min_confidence``. A text too short for a trigram is judged by the other evidence. Unknown hosts fall back to their suffix's shares or the
     corpus's, NULL declared languages and codes of no language say nothing.
-    Every declared language is told apart, however many there are. Equal posteriors
-    go to the language declared more often. A corpus that declares no language
+    Every declared language of ``languages`` is told apart; other codes are unknown, so
+    that what reaches the driver and the tasks is bounded by that list (by default
+    some 290 codes of 16384 trigram buckets each) and not by what pages declare.
+    A text weighs as much as ``EVIDENCE`` of its trigrams, so that a long text
+    does not drown the declared language and the host. Equal posteriors go to the language declared more often. A corpus that declares no language
     rejects all. Repeated rows stay; names in ``keep`` must not start with an underscore.
     """
     prepare(df.sparkSession)
-    rows = evidence_rows(df, text, declared, host, suffix, keep)
+    rows = evidence_rows(df, text, declared, host, suffix, keep, languages)
     known, priors = gather(rows)
     size = len(known.languages)
     kept_type = rows.select(*keep, "_declared", "_host", "_suffix").schema

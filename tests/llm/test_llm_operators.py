@@ -464,6 +464,22 @@ def test_every_declared_language_is_told_apart(spark):
     assert got[9000].language in codes and got[9001].language in codes and got[9002].language == codes[77]
 
 
+def test_codes_of_no_language_make_no_class(spark):
+    prepare(spark)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    junk = [a + b + c for a in "xqj" for b in letters for c in letters]
+    junk = [c for c in junk if c not in language_id.LANGUAGES and c not in language_id.SAME]
+    docs = [(i, "the house and the river with a long road ", "eng" if i % 2 else "en-GB") for i in range(20)]
+    docs += [(20 + i, "das haus und der fluss mit einer straße ", "ger" if i % 2 else "de") for i in range(20)]
+    docs += [(100 + i, "the house and a long river road ", c) for i, c in enumerate(junk)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    rows = language_id.evidence_rows(df, F.col("text"), F.col("lang"), None, None, ["doc_id"])
+    known, _ = language_id.gather(rows)
+    assert sorted(known.languages) == ["de", "en"]
+    got = {r.doc_id: r for r in language_id.identify(df, ["doc_id"], F.col("text"), F.col("lang")).collect()}
+    assert all(got[i].language == ("de" if 20 <= i < 40 else "en") and got[i].kept for i, _, _ in docs)
+
+
 def test_short_texts_are_judged_by_their_other_evidence(spark):
     prepare(spark)
     docs = [(i, "the house and the river " if i % 2 else "das haus und der fluss ", "en" if i % 2 else "de", f"h{i % 2}") for i in range(40)]
