@@ -22,9 +22,9 @@ from citymarts.llm.id_codec import decode_block, encode_block
 from citymarts.llm.tokens import tokenizer
 
 #: Ids of a block, reached with whole documents (a longer document is a block of its own).
-BLOCK_IDS = 1 << 20
-#: Bytes of text tokenized at a time.
-TEXT_BYTES = 8_000_000
+BLOCK_IDS = 3 << 20
+#: Bytes of text tokenized at a time: a whole Arrow batch (BATCH_BYTES), as each call has its fixed cost.
+TEXT_BYTES = 10_000_000
 #: A task's arrays are about the size of a block or of its text: so much heap stays with it while it runs.
 HEAP_KEPT, HEAP_ARRAYS = 48 << 20, 24 << 20
 END_ID = 0
@@ -62,13 +62,14 @@ def write_ids(
 
         for b in batches:
             for at, some in texts(b.column(1), TEXT_BYTES):
-                keys += b.column(0).slice(at, len(some)).fill_null(NO_KEY).to_pylist()
-                got = [x + end for x in tok.encode(some)]
-                ids += got
-                held += sum(map(len, got)) // 4
-                if held >= block_ids:
-                    yield flush()
-                    block, held = block + 1, 0
+                own = b.column(0).slice(at, len(some)).fill_null(NO_KEY).to_pylist()
+                for key, got in zip(own, tok.encode(some)):
+                    keys.append(key)
+                    ids.append(got + end)
+                    held += len(got) // 4 + 1
+                    if held >= block_ids:
+                        yield flush()
+                        block, held = block + 1, 0
         if keys:
             yield flush()
 

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from citymarts.llm import (
-    byte_bpe, cross_polytope, id_codec, id_files, language_id, lattice_dedup, packing, quality, sharding, simhash_dedup, suffix_array, suffix_dedup,
+    byte_bpe, common, cross_polytope, id_codec, id_files, language_id, lattice_dedup, packing, quality, sharding, simhash_dedup, suffix_array, suffix_dedup,
 )
 from citymarts.llm.common import prepare, scratch
 from citymarts.llm.tokens import ChunkTokenizer
@@ -274,6 +275,39 @@ def test_id_files_give_every_document_its_place(spark, corpus, rows):
     assert not id_files.read_ids(spark, empty).count()
 
 
+def test_id_blocks_end_with_the_document_that_fills_them(spark):
+    texts = [(i, f"word{i} and some more of it. " * 20) for i in range(200)]
+    path, folder = public_tokenizers.path("byte_bpe_50k.json"), scratch(spark, "ids-blocks")
+    id_files.write_ids(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), folder, path, block_ids=500)
+    longest = max(len(r.ids) // 4 for r in id_files.read_ids(spark, folder).collect())
+    blocks = spark.read.parquet(folder).collect()
+    assert sum(r.n_docs for r in blocks) == 200 and max(r.n_ids for r in blocks) < 500 + longest
+
+
+def test_an_arrow_batch_is_tokenized_in_one_piece():
+    batch = pa.array(["x" * 1024] * (8 << 10))
+    assert len(list(common.texts(batch, id_files.TEXT_BYTES))) == 1
+
+
+def test_lanes_read_one_stream_of_words():
+    ids = np.random.default_rng(5).integers(0, 1 << 16, 40_000).astype(np.uint32)
+    block = id_codec.encode_block(ids, np.array([len(ids)]), np.array([1]))
+    head = 8 + int.from_bytes(block[4:8], "little")
+    lanes = len(ids) // id_codec.LANE_IDS
+    states = np.frombuffer(block, "<u8", lanes, head)
+    assert (states >= 1 << 31).all() and (states < 1 << 63).all() and (len(block) - head - 8 * lanes - 4) % 4 == 0
+    assert (id_codec.decode_block(block)[0] == ids).all()
+
+
+@pytest.mark.parametrize("bits", [19, 24, 31])
+def test_codec_with_few_bits_for_the_guesses(monkeypatch, bits):
+    monkeypatch.setattr(id_codec, "_BITS", bits)
+    rng = np.random.default_rng(bits)
+    for ids in (rng.zipf(1.3, 30_000) % 50_000, rng.permutation(300_000)[: 300_000 if bits == 31 else 30_000], np.arange(9000) // 3000):
+        got = id_codec.decode_block(id_codec.encode_block(ids.astype(np.uint32), np.array([len(ids)]), np.array([4])))[0]
+        assert (got == ids).all()
+
+
 def brute_links(x, least):
     n = len(x)
     ok = [v is not None and len(v) > 0 and all(c is not None and math.isfinite(c) for c in v) and any(v) for v in x]
